@@ -1,0 +1,68 @@
+"""Column profile: distinct counts and listed values of every column."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tillroll.schemas import LISTED_WHEN_FEW, LISTED_WHEN_MANY
+
+
+def _distinct_values(df: DataFrame) -> DataFrame:
+    """The distinct (column, value) pairs of ``df``, values as text.
+
+    One pass over all columns: each row becomes one pair per column, and a map task
+    sends each pair at most once, so a frequent value is no hot key.
+    """
+    texts = df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
+    return texts.unpivot([], texts.columns, "column_name", "value").distinct()
+
+
+def _counts(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("column_name").agg(F.count("value").alias("unique_count"))
+
+
+def unique_counts(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values per column, NULL not counted."""
+    return _counts(_distinct_values(df))
+
+
+def sample_values(df: DataFrame) -> DataFrame:
+    """Values of every column: all (and NULL) if it has few, else some.
+
+    The values listed are the first in text order, NULL first. The rank filter is
+    applied by every map task before the shuffle, so a column sends no more than its
+    list from each.
+    """
+    return _samples(_distinct_values(df))
+
+
+def _samples(pairs: DataFrame) -> DataFrame:
+    by_text = Window.partitionBy("column_name").orderBy(F.asc_nulls_first("value"))
+    listed = pairs.withColumn("position", F.row_number().over(by_text)).where(
+        F.col("position") <= LISTED_WHEN_FEW
+    )
+    few = F.col("unique_count") < LISTED_WHEN_FEW
+    # One row per column of the table, so this side is bounded by the schema.
+    counts = F.broadcast(_counts(pairs))
+    return (
+        listed.join(counts, "column_name")
+        .where(F.col("position") <= F.when(few, LISTED_WHEN_FEW).otherwise(LISTED_WHEN_MANY))
+        .select("column_name", "position", "value")
+    )
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """One row per column: its distinct count and its listed values in order."""
+    pairs = _distinct_values(df)
+    lists = _samples(pairs).groupBy("column_name").agg(
+        F.sort_array(F.collect_list(F.struct("position", "value"))).alias("listed")
+    )
+    return _counts(pairs).join(lists, "column_name").select(
+        "column_name", "unique_count", F.col("listed.value").alias("listed_values")
+    )
+
+
+def preview(df: DataFrame, rows: int = 10) -> DataFrame:
+    """The first rows, for ``show()``."""
+    return df.limit(rows)
