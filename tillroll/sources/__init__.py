@@ -1,0 +1,29 @@
+from tillroll.sources.archive import archive_files
+from tillroll.sources.csv_files import (
+    SkippedFile,
+    find_csv,
+    read_events,
+    read_inferred,
+    usable_files,
+)
+from tillroll.sources.tables import (
+    append_rows,
+    create_table_if_missing,
+    drop_table,
+    replace_batch,
+    replace_table,
+)
+
+__all__ = [
+    "SkippedFile",
+    "append_rows",
+    "archive_files",
+    "create_table_if_missing",
+    "drop_table",
+    "find_csv",
+    "read_events",
+    "read_inferred",
+    "replace_batch",
+    "replace_table",
+    "usable_files",
+]

@@ -1,0 +1,26 @@
+"""Moving loaded files away, on any file system Spark can reach."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+
+
+def archive_files(spark: SparkSession, paths: Sequence[str], folder: str) -> list[str]:
+    """Move files into ``folder``, creating it; returns the new paths.
+
+    A file of the same name already there is not overwritten: that raises.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    moved = []
+    for path in paths:
+        source = hadoop.Path(path)
+        destination = hadoop.Path(target, source.getName())
+        if system.exists(destination) or not system.rename(source, destination):
+            raise FileExistsError(f"cannot move {path} to {destination.toString()}")
+        moved.append(destination.toString())
+    return moved
