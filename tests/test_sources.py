@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import types as T
+
+from tests import mini
+from tillroll.schemas import EVENT_SCHEMA, MASTER_SCHEMA
+from tillroll.sources import (
+    append_rows,
+    archive_files,
+    create_table_if_missing,
+    drop_table,
+    find_csv,
+    read_events,
+    read_inferred,
+    replace_batch,
+    replace_table,
+    usable_files,
+)
+from tillroll.sources import jdbc
+
+FIELDS = EVENT_SCHEMA.fieldNames()
+
+
+def test_bad_cell_is_null_and_its_row_stays(spark, tmp_path):
+    path = mini.write(tmp_path, "m.csv", mini.HEADER + mini.LINES)
+    df = read_events(spark, path)
+    assert df.schema == EVENT_SCHEMA
+    assert df.where("product_id IS NULL").first().category_code == "a.b.c.d.e"
+    assert df.agg({"event_time": "min"}).first()[0] == mini.time(0)
+    bad = read_events(spark, path, "bad_line").cache()
+    assert [row.bad_line.split(",")[2] for row in bad.where("bad_line IS NOT NULL").collect()] == ["notanumber"]
+
+
+def test_file_with_a_load_date_of_its_own(spark, tmp_path):
+    path = mini.write(tmp_path, "m.csv", mini.HEADER.strip() + ",processed_date\n" + "".join(
+        f"{line},2019-12-31\n" for line in mini.LINES.splitlines()))
+    assert usable_files(spark, str(tmp_path), FIELDS)[1] == []
+    rows = read_events(spark, path)
+    assert rows.count() == 6 and rows.where("event_type IS NULL OR user_id IS NULL").count() == 0
+
+
+def test_inferred_types(spark, tmp_path):
+    path = mini.write(tmp_path, "m.csv", mini.HEADER + mini.NEXT_MONTH)
+    types = dict(read_inferred(spark, path).dtypes)
+    assert (types["event_time"], types["product_id"], types["price"]) == ("timestamp", "int", "double")
+
+
+def test_only_csv_files_of_the_folder(spark, tmp_path):
+    for name in ("b.csv", "a.csv", "notes.txt"):
+        mini.write(tmp_path, name, mini.HEADER)
+    mini.write(tmp_path / "deeper", "c.csv", mini.HEADER)
+    assert [path.rsplit("/", 1)[1] for path in find_csv(spark, str(tmp_path))] == ["a.csv", "b.csv"]
+
+
+def test_unusable_files_are_named(spark, tmp_path):
+    mini.write(tmp_path, "good.csv", mini.HEADER + mini.LINES)
+    mini.write(tmp_path, "other.csv", "x,y\n1,2\n")
+    mini.write(tmp_path, "swapped.csv", mini.HEADER.replace("event_time,event_type", "event_type,event_time"))
+    mini.write(tmp_path, "void.csv", "")
+    usable, skipped = usable_files(spark, str(tmp_path), FIELDS)
+    assert [path.rsplit("/", 1)[1] for path in usable] == ["good.csv"]
+    assert {file.path.rsplit("/", 1)[1] for file in skipped} == {"other.csv", "swapped.csv", "void.csv"}
+    assert all(file.reason for file in skipped)
+
+
+def test_archive_moves_and_never_overwrites(spark, tmp_path):
+    path = mini.write(tmp_path / "new", "m.csv", "1")
+    archive_files(spark, [path], str(tmp_path / "old"))
+    assert (tmp_path / "old" / "m.csv").read_text() == "1" and not (tmp_path / "new" / "m.csv").exists()
+    again = mini.write(tmp_path / "new", "m.csv", "2")
+    with pytest.raises(FileExistsError):
+        archive_files(spark, [again], str(tmp_path / "old"))
+    assert (tmp_path / "old" / "m.csv").read_text() == "1" and (tmp_path / "new" / "m.csv").exists()
+
+
+def test_table_life(spark):
+    create_table_if_missing(spark, "life", MASTER_SCHEMA)
+    create_table_if_missing(spark, "life", MASTER_SCHEMA)
+    assert spark.table("life").columns == MASTER_SCHEMA.fieldNames()
+    one = spark.createDataFrame([("x", 1)], "brand string, product_id long")
+    full = spark.createDataFrame([], MASTER_SCHEMA).unionByName(one, allowMissingColumns=True)
+    append_rows(full, "life")
+    append_rows(full.select(*reversed(full.columns)), "life")
+    assert [tuple(row)[-1] for row in spark.table("life").collect()] == ["x", "x"]
+    replace_table(one, "life")
+    assert spark.table("life").count() == 1
+    drop_table(spark, "life")
+    drop_table(spark, "life")
+    assert not spark.catalog.tableExists("life")
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_replaced_batch_leaves_no_old_partition(spark, mode):
+    name = f"batches_{mode}"
+    schema = T.StructType.fromDDL("n int, batch string, day int")
+    create_table_if_missing(spark, name, schema, ["batch", "day"])
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        rows = spark.createDataFrame([(1, 1), (2, 2)], "day int, n int")
+        replace_batch(rows, name, "batch", "it's a")
+        replace_batch(rows, name, "batch", "b")
+        replace_batch(rows.where("day = 1"), name, "batch", "it's a")
+        assert spark.conf.get(key) == mode
+    finally:
+        spark.conf.set(key, before)
+    assert {tuple(row) for row in spark.table(name).collect()} == {
+        (1, "it's a", 1), (1, "b", 1), (2, "b", 2)}
+    drop_table(spark, name)
+
+
+class _Recorder:
+    """Stands for a reader or writer and keeps what it is asked."""
+
+    def __init__(self):
+        self.calls = []
+
+    def jdbc(self, *args, **kwargs):
+        self.calls.append((args, kwargs))
+        return self
+
+
+class _Session:
+    def __init__(self):
+        self.read = _Recorder()
+
+
+@pytest.fixture
+def database(monkeypatch):
+    monkeypatch.setenv("TILLROLL_DB_USER", "u")
+    monkeypatch.setenv("TILLROLL_DB_PASSWORD", "p")
+    return jdbc.Database("jdbc:some:url", driver="some.Driver")
+
+
+def test_database_read_is_split(database):
+    session = _Session()
+    jdbc.read_table(session, database, "t")
+    jdbc.read_table(session, database, "t", jdbc.Split("id", 1, 9, 4))
+    jdbc.read_table(session, database, "t", jdbc.Split(predicates=["a < 1", "a >= 1"]))
+    (whole, by_range, by_predicate) = [call[1] for call in session.read.calls]
+    assert whole["properties"]["user"] == "u" and whole["properties"]["driver"] == "some.Driver"
+    assert (by_range["column"], by_range["lowerBound"], by_range["upperBound"], by_range["numPartitions"]) == (
+        "id", 1, 9, 4)
+    assert by_predicate["predicates"] == ["a < 1", "a >= 1"]
+
+
+def test_database_write_bounds_its_connections(database):
+    class Frame:
+        write = _Recorder()
+
+    jdbc.write_table(Frame, database, "t", mode="overwrite", connections=3)
+    args, kwargs = Frame.write.calls[0]
+    assert args == ("jdbc:some:url", "t") and kwargs["mode"] == "overwrite"
+    assert kwargs["properties"]["numPartitions"] == "3" and kwargs["properties"]["truncate"] == "true"
+
+
+def test_database_as_catalog(database):
+    settings = jdbc.catalog_settings("shop", database)
+    assert settings["spark.sql.catalog.shop.url"] == "jdbc:some:url"
+    assert settings["spark.sql.catalog.shop.password"] == "p"
+    assert settings["spark.sql.catalog.shop"].endswith("JDBCTableCatalog")

@@ -10,6 +10,7 @@ from tillroll.operators.category import split_category
 from tillroll.operators.guards import require_columns
 
 GROUP = ["product_id", "user_session"]
+SLICE_WIDTHS = ("hour", "day")
 
 
 def _with_time(df: DataFrame) -> DataFrame:
@@ -40,6 +41,8 @@ def add_purchase_movement_sliced(df: DataFrame, width: str = "hour") -> DataFram
     compare NULL fields as equal: the join then keeps NULL groups and needs no second
     shuffle of the events. Reads its input twice, so give it a stored table.
     """
+    if width not in SLICE_WIDTHS:
+        raise ValueError(f"slice width {width!r} is none of {', '.join(SLICE_WIDTHS)}")
     slice_key = F.struct(*GROUP, F.date_trunc(width, "event_time").alias("slice"))
     sliced = _with_time(df).withColumn("_slice", slice_key)
     in_slice = Window.partitionBy("_slice").orderBy("event_time")

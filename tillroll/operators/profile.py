@@ -14,8 +14,11 @@ def _distinct_values(df: DataFrame) -> DataFrame:
     One pass over all columns: each row becomes one pair per column, and a map task
     sends each pair at most once, so a frequent value is no hot key.
     """
-    texts = df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
-    return texts.unpivot([], texts.columns, "column_name", "value").distinct()
+    quoted = ["`{}`".format(name.replace("`", "``")) for name in df.columns]
+    texts = df.select(
+        *[F.col(column).cast("string").alias(name) for name, column in zip(df.columns, quoted, strict=True)]
+    )
+    return texts.unpivot([], quoted, "column_name", "value").distinct()
 
 
 def _counts(pairs: DataFrame) -> DataFrame:

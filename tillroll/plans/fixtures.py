@@ -27,14 +27,17 @@ def _choice(number: Column, *values: Column | str | None) -> Column:
 
 def activity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web-shop events."""
-    number = F.get_json_object("props", "$.k").cast("long")
+    # The number is read from the JSON text once, in a step of its own.
+    events = table(spark, sf_dir, "events").withColumn(
+        "number", F.get_json_object("props", "$.k").cast("long")
+    )
+    number = F.col("number")
     hour = F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
-    product = (number % 20).alias("product_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         hour.alias("event_time"),
         "event_type",
-        product,
+        (number % 20).alias("product_id"),
         (number % 6 + 100).alias("category_id"),
         _choice(number % 6, None, "a", "a.b", "a.b.c", "a.b.c.d", "a.b.c.d.e").alias("category_code"),
         _choice(number % 4, None, "north", "east", "south").alias("brand"),

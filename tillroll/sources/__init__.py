@@ -1,4 +1,3 @@
-from tillroll.sources.archive import archive_files
 from tillroll.sources.csv_files import (
     SkippedFile,
     find_csv,
@@ -6,6 +5,7 @@ from tillroll.sources.csv_files import (
     read_inferred,
     usable_files,
 )
+from tillroll.sources.files import archive_files, list_files
 from tillroll.sources.tables import (
     append_rows,
     create_table_if_missing,
@@ -21,6 +21,7 @@ __all__ = [
     "create_table_if_missing",
     "drop_table",
     "find_csv",
+    "list_files",
     "read_events",
     "read_inferred",
     "replace_batch",

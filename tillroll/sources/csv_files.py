@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tillroll.schemas import EVENT_SCHEMA
+from tillroll.sources.files import list_files
 
 CSV_GLOB = "*.csv"
 
@@ -21,9 +22,8 @@ class SkippedFile:
 
 
 def find_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the ``*.csv`` files directly in ``folder``; no file content is read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder)
-    return sorted(row.path for row in listing.select("path").toLocalIterator())
+    """Paths of the ``*.csv`` files directly in ``folder``; no file is opened."""
+    return list_files(spark, folder, CSV_GLOB)
 
 
 def usable_files(
