@@ -27,9 +27,9 @@ def _choice(number: Column, *values: Column | str | None) -> Column:
 
 def activity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw web-shop events."""
-    # The number is read from the JSON text once, in a step of its own.
+    # Taken from the text {"k": <number>} once, in a step of its own.
     events = table(spark, sf_dir, "events").withColumn(
-        "number", F.get_json_object("props", "$.k").cast("long")
+        "number", F.regexp_extract("props", r'"k":\s*(\d+)', 1).try_cast("long")
     )
     number = F.col("number")
     hour = F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
@@ -41,7 +41,7 @@ def activity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (number % 6 + 100).alias("category_id"),
         _choice(number % 6, None, "a", "a.b", "a.b.c", "a.b.c.d", "a.b.c.d.e").alias("category_code"),
         _choice(number % 4, None, "north", "east", "south").alias("brand"),
-        F.when(F.col("value") >= 1, F.col("value").cast("decimal(12,2)").cast("double")).alias("price"),
+        F.when(F.col("value") >= 1, F.col("value")).alias("price"),
         "user_id",
         F.when(F.col("user_id") % 25 != 0, (F.col("user_id") % 30).cast("string")).alias("user_session"),
     )

@@ -17,7 +17,7 @@ activity_raw AS (
     CASE k % 6 WHEN 0 THEN NULL WHEN 1 THEN 'a' WHEN 2 THEN 'a.b' WHEN 3 THEN 'a.b.c'
       WHEN 4 THEN 'a.b.c.d' ELSE 'a.b.c.d.e' END AS category_code,
     CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN 'north' WHEN 2 THEN 'east' ELSE 'south' END AS brand,
-    CASE WHEN value >= 1 THEN CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) END AS price,
+    CASE WHEN value >= 1 THEN value END AS price,
     user_id,
     CASE WHEN user_id % 25 <> 0 THEN CAST(user_id % 30 AS VARCHAR) END AS user_session
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) numbered
