@@ -1,10 +1,19 @@
 from tillroll.functions.columns import (
     category_level,
     day_of,
-    money,
+    from_units,
     parse_time,
     ratio,
     table_name_for_file,
+    to_units,
 )
 
-__all__ = ["category_level", "day_of", "money", "parse_time", "ratio", "table_name_for_file"]
+__all__ = [
+    "category_level",
+    "day_of",
+    "from_units",
+    "parse_time",
+    "ratio",
+    "table_name_for_file",
+    "to_units",
+]

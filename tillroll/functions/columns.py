@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tillroll.schemas import BACKUP_PREFIX, BACKUP_UNSAFE_CHARACTERS, CATEGORY_SEPARATOR
 
+UNITS = 10_000
+
 
 def category_level(code: Column, level: int, missing: str | None = None) -> Column:
     """The ``level``-th (from 1) dotted part of a category code.
@@ -26,9 +28,18 @@ def day_of(time: Column) -> Column:
     return time.cast("date")
 
 
-def money(price: Column) -> Column:
-    """Exact cents, so that sums do not depend on the order of the rows."""
-    return price.cast("decimal(18,2)")
+def to_units(price: Column) -> Column:
+    """A price as a whole number of hundredths of a cent.
+
+    Sums of whole numbers do not depend on the order of the rows, as sums of doubles do,
+    and stay in primitive arithmetic, as sums of decimals do not. Too large a price or sum
+    raises under ANSI mode.
+    """
+    return F.rint(price * UNITS).cast("long")
+
+
+def from_units(units: Column) -> Column:
+    return units.cast("double") / UNITS
 
 
 def ratio(numerator: Column, denominator: Column, when_zero: Column) -> Column:

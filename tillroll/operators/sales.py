@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import day_of, money, ratio
+from tillroll.functions.columns import day_of, from_units, ratio, to_units
 from tillroll.schemas import DASHBOARD_FROM, DASHBOARD_TO, PURCHASE, TOP_PRODUCT_LABELS
 
 
@@ -46,39 +46,42 @@ def daily_sales(
     return (
         purchases(in_time_range(df, start, end))
         .groupBy(day_of(F.col("event_time")).alias("time"))
-        .agg(F.sum(money(F.col("price"))).cast("double").alias("total_sales"))
+        .agg(from_units(F.sum(to_units(F.col("price")))).alias("total_sales"))
         .orderBy("time")
     )
 
 
-def _product_totals(df: DataFrame) -> DataFrame:
-    return purchases(df).groupBy("product_id").agg(
-        F.sum(money(F.col("price"))).alias("sales"),
-        F.sum(F.col("purchase_movement").cast("long")).alias("movement"),
-    )
+def _product_totals(df: DataFrame, with_movement: bool) -> DataFrame:
+    sums = [F.sum(to_units(F.col("price"))).alias("sales")]
+    if with_movement:
+        sums.append(F.sum(F.col("purchase_movement").cast("long")).alias("movement"))
+    return purchases(df).groupBy("product_id").agg(*sums)
 
 
 def _share(totals: DataFrame) -> Column:
     """Percent of all sales, as a one-value subquery on the same aggregate.
 
-    A window over all products would bring one row per product to one task. Both sums
-    are asked for, so that the subquery has the same shuffle as the report and reuses it.
+    A window over all products would bring one row per product to one task. The subquery
+    asks for every sum of ``totals``, which gives it the same shuffle as the report: the
+    shuffle is then made once and read twice.
     """
-    everything = totals.agg(F.struct(F.sum("sales").alias("sales"), F.sum("movement").alias("movement")))
-    all_sales = everything.scalar()["sales"]
+    sums = [F.sum(name).alias(name) for name in totals.columns if name != "product_id"]
+    all_sales = totals.agg(F.struct(*sums)).scalar()["sales"]
     percent = F.col("sales").cast("double") * 100
     return ratio(percent, all_sales, F.lit(None).cast("double")).cast("decimal(10,2)")
 
 
 def _report(df: DataFrame, *columns: str) -> DataFrame:
-    totals = _product_totals(df)
-    available = {
-        "total_sales": F.col("sales").cast("double"),
-        "sales_percentage": _share(totals),
-        "total_purchase_movement": F.col("movement"),
-        "sales_per_movement": ratio(F.col("sales"), F.col("movement"), F.lit(0.0)),
+    with_movement = {"total_purchase_movement", "sales_per_movement"} & set(columns)
+    totals = _product_totals(df, bool(with_movement))
+    sales, movement = from_units(F.col("sales")), F.col("movement")
+    formulas = {
+        "total_sales": lambda: sales,
+        "sales_percentage": lambda: _share(totals),
+        "total_purchase_movement": lambda: movement,
+        "sales_per_movement": lambda: ratio(sales, movement, F.lit(0.0)),
     }
-    return totals.select("product_id", *[available[name].alias(name) for name in columns])
+    return totals.select("product_id", *[formulas[name]().alias(name) for name in columns])
 
 
 def product_sales(df: DataFrame) -> DataFrame:

@@ -79,11 +79,11 @@ def _products(source: str) -> str:
 
 
 _RANGE = "BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59'"
-_CENTS = "CAST(price AS DECIMAL(18,2))"
+_EXACT = "CAST(price AS DECIMAL(18,4))"
 
 _TOTALS = f"""{_MOVED},
 totals AS (
-  SELECT product_id, CAST(SUM({_CENTS}) AS DOUBLE) AS total_sales,
+  SELECT product_id, CAST(SUM({_EXACT}) AS DOUBLE) AS total_sales,
     CAST(SUM(purchase_movement) AS BIGINT) AS total_purchase_movement
   FROM moved WHERE event_type = 'purchase' GROUP BY product_id
 ),
@@ -164,7 +164,7 @@ UNION ALL SELECT product_id, category_id, category_code, brand FROM rebranded"""
     "new_master_rows": f"WITH {_REBRANDED} {_products('rebranded')} EXCEPT {_products('catalogue')}",
     "master_merge_empty_history": f"WITH {_CATALOGUE} {_products('catalogue')}",
     "daily_sales": f"""WITH {_MOVED}
-SELECT CAST(event_time AS DATE) AS time, CAST(SUM({_CENTS}) AS DOUBLE) AS total_sales
+SELECT CAST(event_time AS DATE) AS time, CAST(SUM({_EXACT}) AS DOUBLE) AS total_sales
 FROM moved WHERE event_type = 'purchase' AND event_time {_RANGE} GROUP BY 1 ORDER BY 1""",
     "product_sales": f"WITH {_TOTALS} SELECT product_id, total_sales, total_purchase_movement FROM report",
     "sales_share": f"WITH {_TOTALS} SELECT product_id, total_sales, sales_percentage FROM report",
