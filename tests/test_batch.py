@@ -20,7 +20,6 @@ def config(spark, tmp_path):
     made = BatchConfig(
         new_files=str(tmp_path / "new"),
         archive=str(tmp_path / "done"),
-        backup=str(tmp_path / "backup"),
         batch_date=DATE,
     )
     yield made
@@ -89,7 +88,7 @@ def test_all_files_of_a_batch_are_loaded(spark, config, tmp_path):
     assert result.report["final_rows"] == 5
     assert [file.path.rsplit("/", 1)[1] for file in result.skipped] == ["odd.csv"]
     assert (tmp_path / "new" / "odd.csv").exists()
-    assert result.backup_tables == ["backup_2019_Nov", "backup_2019_Oct"]
+    assert result.backup.tables == ["backup_2019_Nov", "backup_2019_Oct"]
 
 
 def test_no_file_raises(spark, config, tmp_path):
@@ -118,21 +117,38 @@ def test_day_filter_reads_only_its_partitions(spark, config, tmp_path):
 def test_backup_is_a_table_per_file(spark, tmp_path):
     oct_file = mini.write(tmp_path / "new", "2019-Oct.csv", mini.HEADER + mini.LINES)
     nov_file = mini.write(tmp_path / "new", "2019-Nov.csv", mini.HEADER + mini.NEXT_MONTH)
-    folder = str(tmp_path / "backup")
-    assert backup_csv(spark, [oct_file], folder, DATE) == ["backup_2019_Oct"]
-    backup_csv(spark, [nov_file], folder, DATE)
+    assert backup_csv(spark, [oct_file], DATE).tables == ["backup_2019_Oct"]
+    backup_csv(spark, [nov_file], DATE)
     assert spark.table("backup_2019_Oct").count() == 6
     assert spark.table("backup_2019_Nov").columns == [*mini.HEADER.strip().split(","), "processed_date"]
-    assert spark.table("backup_2019_Oct").where("product_id = 'notanumber'").count() == 1
+    # Types are those of each file: one has a product that is no number.
+    assert dict(spark.table("backup_2019_Oct").dtypes)["product_id"] == "string"
+    assert dict(spark.table("backup_2019_Nov").dtypes)["product_id"] == "int"
     mini.write(tmp_path / "new", "2019-Oct.csv", mini.HEADER + mini.LINES.split("\n")[0] + "\n")
-    backup_csv(spark, [oct_file], folder, DATE)
+    backup_csv(spark, [oct_file], DATE)
     assert spark.table("backup_2019_Oct").count() == 1
     assert spark.table("backup_2019_Nov").count() == 3
     for name in ("backup_2019_Oct", "backup_2019_Nov"):
         drop_table(spark, name)
 
 
+def test_a_file_that_cannot_be_read_does_not_stop_the_others(spark, tmp_path):
+    good = mini.write(tmp_path, "good.csv", mini.HEADER + mini.LINES)
+    result = backup_csv(spark, [str(tmp_path / "gone.csv"), good], DATE)
+    assert result.tables == ["backup_good"]
+    assert [file.path for file in result.failed] == [str(tmp_path / "gone.csv")]
+    drop_table(spark, "backup_good")
+
+
+def test_backup_in_a_database(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    path = mini.write(tmp_path, "m.csv", mini.HEADER + mini.LINES)
+    assert backup_csv(spark, [path], DATE, database="raw").tables == ["raw.backup_m"]
+    assert spark.table("raw.backup_m").count() == 6
+    spark.sql("DROP DATABASE raw CASCADE")
+
+
 def test_backup_name_clash_raises(spark, tmp_path):
     paths = [mini.write(tmp_path, name, mini.HEADER) for name in ("2019-Oct.csv", "2019_Oct.csv")]
     with pytest.raises(ValueError, match="backup_2019_Oct"):
-        backup_csv(spark, paths, str(tmp_path / "backup"))
+        backup_csv(spark, paths)

@@ -15,7 +15,6 @@ def config(spark, tmp_path):
     made = BatchConfig(
         new_files=str(tmp_path / "new"),
         archive=str(tmp_path / "done"),
-        backup=str(tmp_path / "backup"),
         staging_table="stream_staging",
         activity_table="stream_activity",
         master_table="stream_master",

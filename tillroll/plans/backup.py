@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import table_name_for_file
 from tillroll.operators import stamp_processed_date
-from tillroll.sources import read_inferred
+from tillroll.sources import SkippedFile, read_inferred, replace_table
+from tillroll.sources.csv_files import FILE_ERRORS, reason_of
 
-PARTITION = "backup_table"
+
+@dataclass(frozen=True)
+class BackupResult:
+    tables: list[str] = field(default_factory=list)
+    failed: list[SkippedFile] = field(default_factory=list)
 
 
 def backup_names(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
@@ -31,29 +38,30 @@ def backup_names(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
 def backup_csv(
     spark: SparkSession,
     paths: Sequence[str],
-    folder: str,
     batch_date: dt.date | None = None,
     database: str | None = None,
-) -> list[str]:
+    files_at_once: int = 4,
+) -> BackupResult:
     """Store every file as a table of its own, replacing an earlier copy of it.
 
-    All files are written by one job without a shuffle, each to its own partition of
-    ``folder``, so one large file is still written by many tasks. Each partition is then
-    declared as a table. Types are inferred once over all files given together.
+    Types are inferred per file, from all of its values. Writing a file is one job without
+    a shuffle, spread over the parts of the file; a few files are written at once so that
+    small ones do not leave the cluster idle. A file that fails is named in the result.
     """
+    prefix = f"{database}." if database else ""
+
+    def store(item: tuple[str, str]) -> SkippedFile | None:
+        name, path = item
+        try:
+            replace_table(stamp_processed_date(read_inferred(spark, path), batch_date), prefix + name)
+        except FILE_ERRORS as error:
+            return SkippedFile(path, reason_of(error))
+        return None
+
     names = backup_names(spark, paths)
-    raw = read_inferred(spark, paths)
-    file_name = F.col("_metadata.file_name")
-    rows = raw.withColumn(PARTITION, table_name_for_file(file_name))
-    (
-        stamp_processed_date(rows, batch_date)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(folder)
+    with ThreadPoolExecutor(files_at_once) as pool:
+        failures = list(pool.map(store, names.items()))
+    return BackupResult(
+        [prefix + name for name, failure in zip(names, failures, strict=True) if failure is None],
+        [failure for failure in failures if failure is not None],
     )
-    prefix = f"{database}." if database else ""
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
-        spark.catalog.createTable(f"{prefix}{name}", path=f"{folder}/{PARTITION}={name}", source="parquet")
-    return [f"{prefix}{name}" for name in names]

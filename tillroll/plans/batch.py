@@ -20,7 +20,7 @@ from tillroll.operators import (
     stamp_processed_date,
 )
 from tillroll.operators.cleaning import report_of
-from tillroll.plans.backup import backup_csv
+from tillroll.plans.backup import BackupResult, backup_csv
 from tillroll.schemas import ACTIVITY_TABLE, EVENT_SCHEMA, MASTER_SCHEMA, MASTER_TABLE
 from tillroll.sources import (
     SkippedFile,
@@ -46,10 +46,10 @@ class BatchConfig:
 
     new_files: str
     archive: str
-    backup: str
     staging_table: str = "staged_events"
     activity_table: str = ACTIVITY_TABLE
     master_table: str = MASTER_TABLE
+    backup_database: str | None = None
     batch_date: dt.date | None = None
 
 
@@ -57,7 +57,7 @@ class BatchConfig:
 class BatchResult:
     batch_id: str
     report: dict[str, int]
-    backup_tables: list[str] = field(default_factory=list)
+    backup: BackupResult = field(default_factory=BackupResult)
     skipped: list[SkippedFile] = field(default_factory=list)
     archived: list[str] = field(default_factory=list)
 
@@ -125,7 +125,7 @@ def run_batch(spark: SparkSession, config: BatchConfig, batch_id: str) -> BatchR
     paths, skipped = usable_files(spark, config.new_files, EVENT_SCHEMA.fieldNames())
     if not paths:
         raise FileNotFoundError(f"no usable CSV file in {config.new_files}; skipped: {skipped}")
-    backups = backup_csv(spark, paths, config.backup, config.batch_date)
+    backup = backup_csv(spark, paths, config.batch_date, config.backup_database)
     loaded = load_events(read_events(spark, paths), config, batch_id)
     archived = archive_files(spark, paths, config.archive)
-    return BatchResult(batch_id, loaded.report, backups, skipped, archived)
+    return BatchResult(batch_id, loaded.report, backup, skipped, archived)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -14,6 +15,9 @@ from tillroll.sources.files import list_files
 
 CSV_GLOB = "*.csv"
 
+# What reading a broken file raises: while planning, or from a job.
+FILE_ERRORS = (PySparkException, Py4JJavaError)
+
 
 @dataclass(frozen=True)
 class SkippedFile:
@@ -21,6 +25,11 @@ class SkippedFile:
     reason: str
 
 
+def reason_of(error: Exception) -> str:
+    cause = error.java_exception if isinstance(error, Py4JJavaError) else error
+    return str(cause).partition("\n")[0]
+
+
 def find_csv(spark: SparkSession, folder: str) -> list[str]:
     """Paths of the ``*.csv`` files directly in ``folder``; no file is opened."""
     return list_files(spark, folder, CSV_GLOB)
@@ -38,8 +47,8 @@ def usable_files(
     for path in find_csv(spark, folder):
         try:
             header = spark.read.option("header", True).csv(path).columns
-        except PySparkException as error:
-            skipped.append(SkippedFile(path, str(error).splitlines()[0]))
+        except FILE_ERRORS as error:
+            skipped.append(SkippedFile(path, reason_of(error)))
             continue
         if not header:
             skipped.append(SkippedFile(path, "empty file"))
