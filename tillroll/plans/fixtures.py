@@ -47,6 +47,20 @@ def activity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as events: an order is a session, the return flag the event type."""
+    flag, status = F.lower("l_returnflag"), F.lower("l_linestatus")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").alias("event_time"),
+        F.when(flag == "n", "purchase").when(flag == "r", "cart").otherwise("view").alias("event_type"),
+        F.col("l_partkey").alias("product_id"),
+        F.concat_ws(".", flag, status, F.col("l_linenumber").cast("string")).alias("category_code"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_suppkey").alias("user_id"),
+        F.col("l_orderkey").cast("string").alias("user_session"),
+    )
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = activity_raw(spark, sf_dir)
     return raw.transform(deduplicate, order_by=["event_id"]).transform(drop_incomplete)

@@ -28,26 +28,62 @@ _COMPLETE = (
     "AND user_id IS NOT NULL AND user_session IS NOT NULL"
 )
 
-_DEDUPLICATED = f"""{_ACTIVITY_RAW},
+_ORDER_COLUMNS = "event_time, event_type, product_id, category_code, price, user_id, user_session"
+
+_ORDER_LINES = """
+order_lines AS (
+  SELECT l_shipdate AS event_time,
+    CASE l_returnflag WHEN 'N' THEN 'purchase' WHEN 'R' THEN 'cart' ELSE 'view' END AS event_type,
+    l_partkey AS product_id,
+    concat(lower(l_returnflag), '.', lower(l_linestatus), '.', l_linenumber) AS category_code,
+    l_extendedprice AS price, l_suppkey AS user_id, CAST(l_orderkey AS VARCHAR) AS user_session
+  FROM lineitem
+)"""
+
+
+def _deduplicated(raw: str, source: str, columns: str, order_by: str) -> str:
+    return f"""{raw},
 deduplicated AS (
-  SELECT {_RAW_COLUMNS} FROM (
+  SELECT {columns} FROM (
     SELECT *, row_number() OVER (
       PARTITION BY event_time, user_session, product_id
-      ORDER BY CASE WHEN {_COMPLETE} THEN 0 ELSE 1 END, event_id) AS copy_number
-    FROM activity_raw) copies
+      ORDER BY CASE WHEN {_COMPLETE} THEN 0 ELSE 1 END, {order_by}) AS copy_number
+    FROM {source}) copies
   WHERE copy_number = 1
 )"""
 
-_CLEAN = f"""{_DEDUPLICATED},
+
+def _clean(deduplicated: str) -> str:
+    return f"""{deduplicated},
 clean AS (SELECT * FROM deduplicated WHERE {_COMPLETE})"""
 
-_MOVED = f"""{_CLEAN},
+
+def _moved(clean: str) -> str:
+    return f"""{clean},
 moved AS (
   SELECT *, CAST(row_number() OVER (
     PARTITION BY product_id, user_session ORDER BY event_time) AS INTEGER) AS purchase_movement
   FROM clean
 )"""
 
+
+def _report(source: str) -> str:
+    return f"""
+SELECT initial_rows, initial_rows - distinct_rows AS duplicate_rows,
+  distinct_rows - final_rows AS incomplete_rows, final_rows
+FROM (SELECT (SELECT COUNT(*) FROM {source}) AS initial_rows,
+  (SELECT COUNT(*) FROM deduplicated) AS distinct_rows,
+  (SELECT COUNT(*) FROM clean) AS final_rows) counted"""
+
+
+_DEDUPLICATED = _deduplicated(_ACTIVITY_RAW, "activity_raw", _RAW_COLUMNS, "event_id")
+_CLEAN = _clean(_DEDUPLICATED)
+_MOVED = _moved(_CLEAN)
+_ORDER_CLEAN = _clean(
+    _deduplicated(_ORDER_LINES, "order_lines", _ORDER_COLUMNS, "event_type, category_code, price, user_id")
+)
+_ORDER_MOVED = _moved(_ORDER_CLEAN)
+
 _CATALOGUE = """
 catalogue AS (
   SELECT p_partkey AS product_id, CAST(p_size AS BIGINT) AS category_id, p_brand AS brand,
@@ -79,9 +115,12 @@ def _products(source: str) -> str:
 
 
 _RANGE = "BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59'"
+_ORDER_RANGE = "BETWEEN TIMESTAMP '1999-01-01 00:00:00' AND TIMESTAMP '2001-12-31 00:00:00'"
 _EXACT = "CAST(price AS DECIMAL(18,4))"
 
-_TOTALS = f"""{_MOVED},
+
+def _sales_report(moved: str) -> str:
+    return f"""{moved},
 totals AS (
   SELECT product_id, CAST(SUM({_EXACT}) AS DOUBLE) AS total_sales,
     CAST(SUM(purchase_movement) AS BIGINT) AS total_purchase_movement
@@ -97,6 +136,16 @@ report AS (
   FROM totals
 )"""
 
+
+def _daily(time_range: str) -> str:
+    return f"""
+SELECT CAST(event_time AS DATE) AS time, CAST(SUM({_EXACT}) AS DOUBLE) AS total_sales
+FROM moved WHERE event_type = 'purchase' AND event_time {time_range} GROUP BY 1 ORDER BY 1"""
+
+
+_TOTALS = _sales_report(_MOVED)
+_ORDER_TOTALS = _sales_report(_ORDER_MOVED)
+
 _TOP = "FROM report ORDER BY total_sales DESC NULLS FIRST, product_id LIMIT 10"
 
 
@@ -142,12 +191,7 @@ ORACLE_SQL: dict[str, str] = {
     "clean_events": (
         f"WITH {_CLEAN} SELECT {_RAW_COLUMNS}, DATE '2024-02-01' AS processed_date FROM clean"
     ),
-    "preprocess_report": f"""WITH {_CLEAN}
-SELECT initial_rows, initial_rows - distinct_rows AS duplicate_rows,
-  distinct_rows - final_rows AS incomplete_rows, final_rows
-FROM (SELECT (SELECT COUNT(*) FROM activity_raw) AS initial_rows,
-  (SELECT COUNT(*) FROM deduplicated) AS distinct_rows,
-  (SELECT COUNT(*) FROM clean) AS final_rows) counted""",
+    "preprocess_report": f"WITH {_CLEAN} {_report('activity_raw')}",
     "purchase_movement": _MOVEMENT,
     "purchase_movement_sliced": _MOVEMENT,
     "category_hierarchy_null": f"WITH {_CATALOGUE} SELECT *, {_levels()} FROM catalogue",
@@ -163,9 +207,7 @@ UNION ALL SELECT product_id, category_id, category_code, brand FROM rebranded"""
     "product_master_incremental": _MERGED,
     "new_master_rows": f"WITH {_REBRANDED} {_products('rebranded')} EXCEPT {_products('catalogue')}",
     "master_merge_empty_history": f"WITH {_CATALOGUE} {_products('catalogue')}",
-    "daily_sales": f"""WITH {_MOVED}
-SELECT CAST(event_time AS DATE) AS time, CAST(SUM({_EXACT}) AS DOUBLE) AS total_sales
-FROM moved WHERE event_type = 'purchase' AND event_time {_RANGE} GROUP BY 1 ORDER BY 1""",
+    "daily_sales": f"WITH {_MOVED} {_daily(_RANGE)}",
     "product_sales": f"WITH {_TOTALS} SELECT product_id, total_sales, total_purchase_movement FROM report",
     "sales_share": f"WITH {_TOTALS} SELECT product_id, total_sales, sales_percentage FROM report",
     "sales_per_movement": (
@@ -175,6 +217,12 @@ FROM moved WHERE event_type = 'purchase' AND event_time {_RANGE} GROUP BY 1 ORDE
     "top_products_panel": f"WITH {_TOTALS} SELECT "
     + ", ".join(f'{name} AS "{label}"' for name, label in TOP_PRODUCT_LABELS.items())
     + f" {_TOP}",
+    "order_line_report": f"WITH {_ORDER_CLEAN} {_report('order_lines')}",
+    "order_line_activity": f"""WITH {_ORDER_MOVED}
+SELECT {_ORDER_COLUMNS}, DATE '2024-02-01' AS processed_date, purchase_movement, {_levels('')} FROM moved""",
+    "order_line_daily_sales": f"WITH {_ORDER_MOVED} {_daily(_ORDER_RANGE)}",
+    "order_line_top_products": f"WITH {_ORDER_TOTALS} SELECT * {_TOP}",
+    "order_line_sales_share": f"WITH {_ORDER_TOTALS} SELECT product_id, total_sales, sales_percentage FROM report",
     "profile_unique_counts": f"WITH {_EVENT_PAIRS} SELECT column_name, unique_count FROM counts",
     "profile_sample_values": f"WITH {_EVENT_PAIRS} SELECT column_name, position, value FROM listed",
     "profile_activity": f"""WITH {_ACTIVITY_RAW}, {_RAW_PAIRS}

@@ -144,6 +144,26 @@ def top_products_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(op.top_products(fx.moved(spark, sf_dir), labels=True), "Sales Percentage")
 
 
+def order_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.cleaning_report(fx.order_lines(spark, sf_dir))
+
+
+def order_line_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.build_activity(op.clean_events(fx.order_lines(spark, sf_dir), LOAD_DATE))
+
+
+def order_line_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.daily_sales(order_line_activity(spark, sf_dir), "1999-01-01", "2001-12-31")
+
+
+def order_line_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_double(op.top_products(order_line_activity(spark, sf_dir)), "sales_percentage")
+
+
+def order_line_sales_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_double(op.sales_share(order_line_activity(spark, sf_dir)), "sales_percentage")
+
+
 def _as_double(df: DataFrame, name: str) -> DataFrame:
     """DECIMAL(10,2) as DOUBLE, the one numeric type both engines hand out alike."""
     return df.withColumn(name, F.col(name).cast("double"))
@@ -197,6 +217,11 @@ QUERIES: dict[str, Query] = {
         sales_per_movement,
         top_products,
         top_products_panel,
+        order_line_report,
+        order_line_activity,
+        order_line_daily_sales,
+        order_line_top_products,
+        order_line_sales_share,
         profile_unique_counts,
         profile_sample_values,
         profile_activity,
