@@ -76,8 +76,7 @@ def test_copies_are_counted(raw):
 
 
 def test_report_of_no_rows(spark):
-    assert tuple(op.cleaning_report(mini.events(spark, []))
-                 .first()) == (0, 0, 0, 0)
+    assert tuple(op.cleaning_report(mini.events(spark, [])).first()) == (0, 0, 0, 0)
 
 
 def test_load_date_replaces_one_in_the_input(raw):
@@ -86,6 +85,11 @@ def test_load_date_replaces_one_in_the_input(raw):
     assert dict(stamped.dtypes)["processed_date"] == "date"
 
 
+def test_load_date_is_today_unless_given(raw):
+    row = op.stamp_processed_date(raw).selectExpr("processed_date = current_date() AS today").distinct().collect()
+    assert [r.today for r in row] == [True]
+
+
 def test_bad_time_becomes_null(spark):
     df = spark.createDataFrame([("2019-10-01 00:00:00 UTC",), ("soon",), (None,)], "event_time string")
     assert [row.event_time for row in op.cast_event_time(df).collect()] == [mini.time(0), None, None]

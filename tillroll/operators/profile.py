@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,14 +13,20 @@ from tillroll.schemas import LISTED_WHEN_FEW, LISTED_WHEN_MANY
 def _distinct_values(df: DataFrame) -> DataFrame:
     """The distinct (column, value) pairs of ``df``, values as text.
 
-    One pass over all columns: each row becomes one pair per column, and a map task
-    sends each pair at most once, so a frequent value is no hot key.
+    One aggregate per column, in the column's own type and in one query: a columnar table
+    is read once in all, each branch taking its own column. A map task sends each of its
+    values at most once, so a frequent value is no hot key. Stacking the columns first
+    would make every cell a text and was twice as slow.
     """
-    quoted = ["`{}`".format(name.replace("`", "``")) for name in df.columns]
-    texts = df.select(
-        *[F.col(column).cast("string").alias(name) for name, column in zip(df.columns, quoted, strict=True)]
+    return reduce(
+        DataFrame.unionAll,
+        [
+            df.select(F.col("`{}`".format(name.replace("`", "``"))).alias("value"))
+            .distinct()
+            .select(F.lit(name).alias("column_name"), F.col("value").cast("string"))
+            for name in df.columns
+        ],
     )
-    return texts.unpivot([], quoted, "column_name", "value").distinct()
 
 
 def _counts(pairs: DataFrame) -> DataFrame:
