@@ -113,3 +113,17 @@ def test_large_history_is_not_broadcast(spark):
     assert re.search(r"SortMergeJoin.*LeftAnti", plan)
     # The batch is made distinct below the join, so no product is a hot join key.
     assert plan.index("SortMergeJoin") < plan.index("HashAggregate")
+
+
+def test_slices_shuffle_the_events_once(spark):
+    """The counts of earlier slices come to the events, not the other way round."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = planned(QUERIES["purchase_movement_sliced"](spark, SF_DIR))
+    finally:
+        spark.conf.set(key, before)
+    join = plan.index("SortMergeJoin [_slice")
+    events = plan[join : plan.index("row_number")]
+    assert "LeftOuter" in events and "Exchange" not in events and "Sort" not in events.removeprefix("SortMergeJoin")
