@@ -21,7 +21,7 @@ from tillroll.operators.movement import (
     build_activity,
     most_rows_per_group,
 )
-from tillroll.operators.profile import preview, profile, sample_values, unique_counts
+from tillroll.operators.profiling import preview, profile, sample_values, unique_counts
 from tillroll.operators.sales import (
     daily_sales,
     in_time_range,

@@ -45,33 +45,29 @@ def sample_values(df: DataFrame) -> DataFrame:
     applied by every map task before the shuffle, so a column sends no more than its
     list from each.
     """
-    return _samples(_distinct_values(df))
+    return _listed(df).select("column_name", "position", "value")
 
 
-def _samples(pairs: DataFrame) -> DataFrame:
+def _listed(df: DataFrame) -> DataFrame:
+    pairs = _distinct_values(df)
     by_text = Window.partitionBy("column_name").orderBy(F.asc_nulls_first("value"))
-    listed = pairs.withColumn("position", F.row_number().over(by_text)).where(
+    ranked = pairs.withColumn("position", F.row_number().over(by_text)).where(
         F.col("position") <= LISTED_WHEN_FEW
     )
     few = F.col("unique_count") < LISTED_WHEN_FEW
     # One row per column of the table, so this side is bounded by the schema.
     counts = F.broadcast(_counts(pairs))
-    return (
-        listed.join(counts, "column_name")
-        .where(F.col("position") <= F.when(few, LISTED_WHEN_FEW).otherwise(LISTED_WHEN_MANY))
-        .select("column_name", "position", "value")
+    return ranked.join(counts, "column_name").where(
+        F.col("position") <= F.when(few, LISTED_WHEN_FEW).otherwise(LISTED_WHEN_MANY)
     )
 
 
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: its distinct count and its listed values in order."""
-    pairs = _distinct_values(df)
-    lists = _samples(pairs).groupBy("column_name").agg(
+    lists = _listed(df).groupBy("column_name", "unique_count").agg(
         F.sort_array(F.collect_list(F.struct("position", "value"))).alias("listed")
     )
-    return _counts(pairs).join(lists, "column_name").select(
-        "column_name", "unique_count", F.col("listed.value").alias("listed_values")
-    )
+    return lists.select("column_name", "unique_count", F.col("listed.value").alias("listed_values"))
 
 
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
