@@ -111,6 +111,13 @@ def test_replaced_batch_leaves_no_old_partition(spark, mode):
     drop_table(spark, name)
 
 
+def test_batches_need_their_partition(spark):
+    create_table_if_missing(spark, "flat", T.StructType.fromDDL("n int, batch string"))
+    with pytest.raises(ValueError, match="partitioned"):
+        replace_batch(spark.createDataFrame([(1,)], "n int"), "flat", "batch", "b")
+    drop_table(spark, "flat")
+
+
 class _Recorder:
     """Stands for a reader or writer and keeps what it is asked."""
 

@@ -18,11 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _choice(number: Column, *values: Column | str | None) -> Column:
     """``values[number]``, the last value beyond that."""
-    *first, last = values
-    case = F.when(F.lit(False), F.lit(None))
+    *first, last = [value if isinstance(value, Column) else F.lit(value) for value in values]
+    case = F
     for position, value in enumerate(first):
-        case = case.when(number == position, value if isinstance(value, Column) else F.lit(value))
-    return case.otherwise(last if isinstance(last, Column) else F.lit(last))
+        case = case.when(number == position, value)
+    return case.otherwise(last)
 
 
 def activity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -36,27 +37,28 @@ def find_csv(spark: SparkSession, folder: str) -> list[str]:
 
 
 def usable_files(
-    spark: SparkSession, folder: str, columns: Sequence[str] = ()
+    spark: SparkSession, folder: str, columns: Sequence[str] = (), files_at_once: int = 16
 ) -> tuple[list[str], list[SkippedFile]]:
     """The files whose header starts with ``columns``, and the others with a reason.
 
     Only the first line of each file is read. Fields are matched by position later,
     so a file with another header would load wrong values without any error.
     """
-    usable, skipped = [], []
-    for path in find_csv(spark, folder):
+
+    def problem(path: str) -> str | None:
         try:
             header = spark.read.option("header", True).csv(path).columns
         except FILE_ERRORS as error:
-            skipped.append(SkippedFile(path, reason_of(error)))
-            continue
+            return reason_of(error)
         if not header:
-            skipped.append(SkippedFile(path, "empty file"))
-        elif header[: len(columns)] != list(columns):
-            skipped.append(SkippedFile(path, f"unexpected header: {', '.join(header)}"))
-        else:
-            usable.append(path)
-    return usable, skipped
+            return "empty file"
+        return None if header[: len(columns)] == list(columns) else f"unexpected header: {', '.join(header)}"
+
+    paths = find_csv(spark, folder)
+    with ThreadPoolExecutor(files_at_once) as pool:
+        problems = dict(zip(paths, pool.map(problem, paths), strict=True))
+    usable = [path for path, reason in problems.items() if reason is None]
+    return usable, [SkippedFile(path, reason) for path, reason in problems.items() if reason is not None]
 
 
 def read_events(

@@ -48,8 +48,10 @@ def replace_batch(df: DataFrame, name: str, key: str, batch: str) -> None:
     """
     spark = df.sparkSession
     columns = [column for column in spark.table(name).columns if column != key]
-    inner = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
-    layout = ", ".join(["{key} = {batch}".format(key=key, batch=f"'{_quoted(batch)}'"), *inner[1:]])
+    partitions = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    if partitions[:1] != [key]:
+        raise ValueError(f"{name} is not partitioned by {key} first")
+    layout = ", ".join([f"{key} = '{_quoted(batch)}'", *partitions[1:]])
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {name} PARTITION ({layout}) SELECT * FROM {{rows}}",
