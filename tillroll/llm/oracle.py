@@ -48,3 +48,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE_SQL["op2_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM p),
+d AS (
+  SELECT page_id, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(hex, CAST(k // 8 * 10 + 1 AS INTEGER), 10) AS BIGINT) >> CAST(35 - k % 8 * 5 AS INTEGER)) & 31) AS INTEGER) + 1, 1)), '')
+    AS payload_digest
+  FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f JOIN d USING (page_id)
+"""

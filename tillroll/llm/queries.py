@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
+from tillroll.llm import bpe, decontaminate, exact_dedup, sharding, simhash, toxicity, warc
 from tillroll.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(table(spark, sf_dir, "pages"))
+    return warc.read_pages(archive).select(
+        F.expr("try_cast(record_id as bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.expr("try_cast(refers_to as bigint)").alias("refers_to"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -47,6 +58,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = sharding.shuffled_shards(table(spark, sf_dir, "documents"))
+    text = F.col("record.text")
+    return written.select(
+        F.col("record.doc_id").alias("doc_id"),
+        sharding.size_of(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
@@ -76,8 +101,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_bpe": op9_bpe,
 }
