@@ -63,3 +63,19 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM f JOIN d USING (page_id)
 """
+
+# Each turn is rendered as "### role: text </turn>" and a line feed, with a backslash before
+# every backslash, ### and </turn> of a text, and before a role's colons too.
+ORACLE_SQL["op8_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, n, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(15 + length(regexp_replace(role, '\\|###|</turn>|:', 'x\0', 'g'))
+    + length(regexp_replace(text, '\\|###|</turn>', 'x\0', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact_dedup, sharding, simhash, toxicity, warc
+from tillroll.llm import bpe, chat, decontaminate, exact_dedup, sharding, simhash, token_counts, toxicity, warc
 from tillroll.llm.common import table
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,29 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path(BYTE_BPE)
+    return token_counts.count_by_section(docs, path, public_tokenizers.PATTERN, rule="majority")
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    added = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
+    rows = rows.unionByName(spark.createDataFrame(added, "conv_id long, turn long, role string, text string"))
+    made = chat.format_conversations(rows, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chat.read_back(made).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids and decoded texts to counts and digests."""
     for batch in batches:
@@ -106,5 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
 }
