@@ -39,17 +39,18 @@ def rows_in(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def join_counted(left: DataFrame, keys: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+def join_counted(left: DataFrame, keys: DataFrame, key: str | list[str], copies: str, total: int) -> DataFrame:
     """Inner join of rows with one row per key, where a key may have any share of the rows.
 
     ``keys[copies]`` is the number of rows of ``left`` that have the key, ``total`` that of
     all rows, so at most ``HOT_KEYS`` keys can be hot and only these are broadcast. Both
     sides should be stored tables, since each is read twice. Keys are not null.
     """
+    names = [key] if isinstance(key, str) else key
     is_hot = F.col(copies) * HOT_KEYS > F.lit(total)
     hot = F.broadcast(keys.where(is_hot))
-    return left.join(hot, key).unionByName(
-        left.join(hot.select(key), key, "left_anti").join(keys.where(~is_hot), key)
+    return left.join(hot, names).unionByName(
+        left.join(hot.select(*names), names, "left_anti").join(keys.where(~is_hot), names)
     )
 
 

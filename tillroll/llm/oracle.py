@@ -79,3 +79,29 @@ SELECT conv_id, count(*) AS n_turns,
     + length(regexp_replace(text, '\\|###|</turn>', 'x\0', 'g'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+ORACLE_SQL["op10_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+raw AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS line_no FROM split),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM raw),
+l AS (
+  SELECT *, row_number() OVER d AS p, sum(words) OVER d AS upto
+  FROM counted WHERE words > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY line_no)),
+ends AS (
+  SELECT a.doc_id, a.p AS s, min(b.p) AS e FROM l a JOIN l b
+    ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 49 AND b.upto - a.upto + a.words >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.p), b.p FROM l a JOIN l b
+    ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 49 AND b.upto - a.upto + a.words >= 50 GROUP BY b.doc_id, b.p),
+run AS (
+  SELECT r.doc_id, s, e, string_agg(line, chr(10) ORDER BY p) AS run
+  FROM ends r JOIN l ON l.doc_id = r.doc_id AND l.p BETWEEN s AND e GROUP BY ALL),
+later AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM run QUALIFY k > 1),
+gone AS (
+  SELECT DISTINCT l.doc_id, l.line_no FROM later r JOIN l ON l.doc_id = r.doc_id AND l.p BETWEEN s AND e)
+SELECT raw.doc_id, count(*) AS n_lines, count(gone.line_no) AS n_deleted,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY raw.line_no) FILTER (gone.line_no IS NULL), '')) AS kept_sha256
+FROM raw LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.line_no = raw.line_no
+GROUP BY raw.doc_id
+"""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, decontaminate, exact_dedup, sharding, simhash, token_counts, toxicity, warc
+from tillroll.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, sharding, simhash, token_counts, toxicity, warc
 from tillroll.llm.common import table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -122,6 +122,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_deleted",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -132,4 +142,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
