@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -75,7 +75,7 @@ def top_window_over_all(activity: DataFrame, path: str) -> list:
 def timed(work: Callable[[DataFrame, str], object], df: DataFrame, folder: str) -> tuple[float, object]:
     seconds, result = [], None
     for _ in range(4):
-        path = tempfile.mkdtemp(prefix="out-", dir=folder)
+        path = f"{folder}/out-{uuid.uuid4().hex}"
         start = time.perf_counter()
         result = work(df, path)
         seconds.append(time.perf_counter() - start)
@@ -85,7 +85,8 @@ def timed(work: Callable[[DataFrame, str], object], df: DataFrame, folder: str)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
-    folder = tempfile.mkdtemp(prefix="shapes-")
+    shared = os.environ["BENCH_SHARED_DIR"]  # a folder that driver and executors share
+    folder = f"{shared}/shapes-{uuid.uuid4().hex}"
     lines = fx.order_lines(spark, sf_dir)
     lines.write.option("header", True).csv(f"{folder}/csv")
     raw = spark.read.option("header", True).schema(lines.schema).csv(f"{folder}/csv")

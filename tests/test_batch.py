@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
@@ -10,7 +11,7 @@ from tillroll.plans import batch as batch_module
 from tillroll.plans.backup import backup_csv
 from tillroll.plans.batch import BatchConfig, run_batch
 from tillroll.schemas import HIERARCHY_COLUMNS, MASTER_COLUMNS
-from tillroll.sources import drop_table
+from tillroll.sources import archive_files, drop_table, read_events, with_source_file
 
 DATE = dt.date(2020, 3, 1)
 
@@ -23,8 +24,11 @@ def config(spark, tmp_path):
         batch_date=DATE,
     )
     yield made
-    for name in (made.staging_table, made.activity_table, made.master_table):
+    for name in (made.activity_table, made.master_table, made.record_table):
         drop_table(spark, name)
+    for table in spark.catalog.listTables():
+        if table.name.startswith("backup_"):
+            drop_table(spark, table.name)
 
 
 def content(spark, config):
@@ -39,7 +43,7 @@ def test_two_months(spark, config, tmp_path):
     assert first.report == {"initial_rows": 6, "duplicate_rows": 2, "incomplete_rows": 2, "final_rows": 2}
     assert [path.rsplit("/", 1)[1] for path in first.archived] == ["2019-Oct.csv"]
     assert list((tmp_path / "new").glob("*.csv")) == []
-    assert not spark.catalog.tableExists(config.staging_table)
+    assert not spark.catalog.tableExists(config.staging_of("2019-10"))
 
     mini.write(tmp_path / "new", "2019-Nov.csv", mini.HEADER + mini.NEXT_MONTH)
     run_batch(spark, config, "2019-11")
@@ -56,7 +60,7 @@ def test_two_months(spark, config, tmp_path):
 
     top = op.top_products(activity).collect()
     assert [(r.product_id, r.total_sales) for r in top] == [(5773353, 6.0), (5773203, 2.62)]
-    assert op.daily_sales(activity).count() == 2
+    assert op.daily_sales(activity, "2019-10-01", "2019-11-30").count() == 2
 
 
 def test_running_a_batch_again_changes_nothing(spark, config, tmp_path):
@@ -97,14 +101,96 @@ def test_no_file_raises(spark, config, tmp_path):
         run_batch(spark, config, "none")
 
 
-def test_wide_groups_are_numbered_in_slices(spark, config, tmp_path, monkeypatch):
-    monkeypatch.setattr(batch_module, "ROWS_FOR_ONE_TASK", 1)
+@pytest.mark.parametrize("width", ["day", "hour"])
+def test_slices_give_the_same_tables(spark, config, tmp_path, width):
     mini.write(tmp_path / "new", "2019-Nov.csv", mini.HEADER + mini.NEXT_MONTH)
     run_batch(spark, config, "2019-11")
+    whole = content(spark, config)
+    for name in (config.activity_table, config.master_table):
+        drop_table(spark, name)
+    (tmp_path / "done" / "2019-Nov.csv").rename(tmp_path / "new" / "2019-Nov.csv")
+    run_batch(spark, replace(config, slice_width=width), "2019-11")
+    assert content(spark, config) == whole
     rows = spark.table(config.activity_table).where("product_id = 5773353").orderBy("event_time").collect()
     assert [row.purchase_movement for row in rows] == [1, 2]
 
 
+def line(second, product, session="s1"):
+    return f"2019-11-03 00:00:{second:02d} UTC,purchase,{product},7,,b,1.00,1,{session}\n"
+
+
+def products(spark, config):
+    return sorted(r.product_id for r in spark.table(config.activity_table).collect())
+
+
+def test_archive_that_fails_loses_no_rows(spark, config, tmp_path):
+    for n in (1, 2, 3):
+        mini.write(tmp_path / "new", f"f{n}.csv", mini.HEADER + line(n, n))
+    mini.write(tmp_path / "done", "f2.csv", "taken")
+    with pytest.raises(FileExistsError):
+        run_batch(spark, config, "b")
+    assert len(list((tmp_path / "new").glob("*.csv"))) == 3 and products(spark, config) == [1, 2, 3]
+    (tmp_path / "done" / "f2.csv").rename(tmp_path / "done" / "other")
+    run_batch(spark, config, "b")
+    assert products(spark, config) == [1, 2, 3]
+    assert list((tmp_path / "new").glob("*.csv")) == []
+
+
+def test_move_that_fails_half_way_loses_no_rows(spark, config, tmp_path, monkeypatch):
+    for n in (1, 2, 3):
+        mini.write(tmp_path / "new", f"f{n}.csv", mini.HEADER + line(n, n))
+
+    def first_only(session, paths, folder, at_once):
+        archive_files(session, paths[:1], folder)
+        raise OSError("gone away")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(batch_module, "archive_files", first_only)
+        with pytest.raises(OSError):
+            run_batch(spark, config, "b")
+    assert len(list((tmp_path / "new").glob("*.csv"))) == 2
+    run_batch(spark, config, "b")
+    assert products(spark, config) == [1, 2, 3] and list((tmp_path / "new").glob("*.csv")) == []
+
+
+def test_late_and_repaired_files_of_a_batch_are_added(spark, config, tmp_path):
+    mini.write(tmp_path / "new", "good.csv", mini.HEADER + line(1, 1))
+    mini.write(tmp_path / "new", "late.csv", "x,y\n1,2\n")
+    assert len(run_batch(spark, config, "b").skipped) == 1
+    mini.write(tmp_path / "new", "late.csv", mini.HEADER + line(2, 2) + line(3, 3))
+    run_batch(spark, config, "b")
+    assert products(spark, config) == [1, 2, 3]
+    # The same file once more with other rows on other days replaces its own rows only.
+    (tmp_path / "done" / "late.csv").rename(tmp_path / "done" / "old")
+    mini.write(tmp_path / "new", "late.csv", mini.HEADER + line(4, 4).replace("11-03", "11-04"))
+    run_batch(spark, config, "b")
+    assert products(spark, config) == [1, 4]
+
+
+def test_two_batches_do_not_share_a_staging_table(spark, config, tmp_path):
+    mini.write(tmp_path / "new", "f1.csv", mini.HEADER + line(1, 1))
+    for batch_id, product in (("a b", 1), ("a_b", 2)):
+        path = mini.write(tmp_path / "other", f"{product}.csv", mini.HEADER + line(1, product))
+        events = with_source_file(read_events(spark, path))
+        batch_module.stage_events(events, config, batch_id)
+    for batch_id, product in (("a b", 1), ("a_b", 2)):
+        batch_module.load_activity(spark, config, batch_id, [f"{product}.csv"])
+        drop_table(spark, config.staging_of(batch_id))
+    assert {(r.batch_id, r.product_id) for r in spark.table(config.activity_table).collect()} == {("a b", 1), ("a_b", 2)}
+
+
+def test_file_without_backup_is_neither_loaded_nor_moved(spark, config, tmp_path):
+    elsewhere = mini.write(tmp_path / "elsewhere", "f1.csv", mini.HEADER + line(1, 9))
+    backup_csv(spark, [elsewhere], DATE)
+    mini.write(tmp_path / "new", "f1.csv", mini.HEADER + line(1, 1))
+    mini.write(tmp_path / "new", "f2.csv", mini.HEADER + line(2, 2))
+    result = run_batch(spark, config, "b")
+    assert [f.path.rsplit("/", 1)[1] for f in result.backup.failed] == ["f1.csv"]
+    assert products(spark, config) == [2]
+    assert (tmp_path / "new" / "f1.csv").exists() and not (tmp_path / "new" / "f2.csv").exists()
+    assert spark.table("backup_f1").first().product_id == 9
+
+
 def test_day_filter_reads_only_its_partitions(spark, config, tmp_path):
     mini.write(tmp_path / "new", "2019-Nov.csv", mini.HEADER + mini.NEXT_MONTH)
     run_batch(spark, config, "2019-11")
@@ -152,3 +238,6 @@ def test_backup_name_clash_raises(spark, tmp_path):
     paths = [mini.write(tmp_path, name, mini.HEADER) for name in ("2019-Oct.csv", "2019_Oct.csv")]
     with pytest.raises(ValueError, match="backup_2019_Oct"):
         backup_csv(spark, paths)
+    cases = [mini.write(tmp_path / folder, name, mini.HEADER) for folder, name in (("a", "m-Oct.csv"), ("b", "m-oct.csv"))]
+    with pytest.raises(ValueError, match="would both be"):
+        backup_csv(spark, cases)

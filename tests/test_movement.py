@@ -66,22 +66,13 @@ def test_text_time_is_parsed(spark):
     assert {r.event_time.hour: r.purchase_movement for r in op.add_purchase_movement(df).collect()} == {9: 1, 10: 2}
 
 
-def test_group_bound(spark, skewed):
-    bound = op.most_rows_per_group(skewed).first()["bound"]
-    assert skewed.groupBy("product_id", "user_session").count().agg({"count": "max"}).first()[0] <= bound
-    assert bound <= 3 * 86_400
-    fine = spark.sql("SELECT timestamp'2019-10-01 00:00:00.5' + make_dt_interval(0,0,0,id) event_time FROM range(3)")
-    assert op.most_rows_per_group(fine).first()["bound"] == 2_000_001
-    assert op.most_rows_per_group(fine.where("false")).first()["bound"] == 0
-
-
 def test_missing_column_raises(skewed):
     with pytest.raises(ValueError, match="product_id"):
         op.add_purchase_movement(skewed.drop("product_id"))
 
 
-@pytest.mark.parametrize("sliced", [False, True])
-def test_activity_has_blank_levels_and_number(skewed, sliced):
-    activity = op.build_activity(skewed, sliced)
+@pytest.mark.parametrize("width", [None, "day", "hour"])
+def test_activity_has_blank_levels_and_number(skewed, width):
+    activity = op.build_activity(skewed, width)
     assert activity.where("category_hierarchy_1 IS NULL OR purchase_movement IS NULL").count() == 0
     assert set(activity.columns) == {*skewed.columns, *HIERARCHY_COLUMNS, "purchase_movement"}

@@ -44,3 +44,26 @@ def test_odd_column_names(spark):
 def test_preview(df):
     assert op.preview(df).count() == 10
     assert op.preview(df, 3).count() == 3
+
+
+def test_estimates(spark, df):
+    exact = {r.column_name: r.unique_count for r in op.unique_counts(df).collect()}
+    near = {r.column_name: r.unique_count for r in op.unique_counts(df, approximate=True).collect()}
+    assert exact.keys() == near.keys() and all(abs(near[c] - n) <= 0.1 * n for c, n in exact.items())
+    assert op.profile(df, approximate=True).count() == 3
+
+
+def test_work_below_is_done_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS b", "id % 5 AS c").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    computed = table.groupBy("b", "c").count()
+    plan = op.profile(computed)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "ExistingRDD" in plan
+    stored = op.profile(table)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in stored and "FileScan parquet" in stored
+    assert {r.column_name: r.unique_count for r in op.profile(computed).collect()} == {"b": 3, "c": 5, "count": 2}
+
+
+def test_wide_tables_are_profiled_whole(spark):
+    wide = spark.range(3).selectExpr(*[f"id + {k} AS c{k}" for k in range(30)])
+    assert op.profile(wide).count() == 30

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import mini
 from tillroll import operators as op
@@ -64,7 +66,7 @@ def test_ties_by_product(spark):
 
 
 def test_daily_sales(activity):
-    rows = op.daily_sales(activity).collect()
+    rows = op.daily_sales(activity, "2019-09-01", "2020-01-31").collect()
     assert [(r.time, r.total_sales) for r in rows] == [
         (dt.date(2019, 10, 1), 10.10), (dt.date(2019, 10, 2), 24.90)]
 
@@ -79,3 +81,58 @@ def test_sums_are_exact(spark):
     df = spark.createDataFrame([(mini.time(0), "purchase", 1, 0.1, 1)] * 10, SCHEMA)
     assert op.product_sales(df).first().total_sales == 1.0
     assert op.product_sales(df).first().total_purchase_movement == 10
+
+
+def test_range_is_asked_for(activity):
+    with pytest.raises(TypeError):
+        op.daily_sales(activity)
+
+
+def test_a_date_as_end_is_its_whole_day(activity):
+    whole = op.in_time_range(activity, "2019-10-02", "2019-10-02 23:59:59").count()
+    assert whole > 0
+    for end in ("2019-10-02", dt.date(2019, 10, 2)):
+        assert op.in_time_range(activity, "2019-10-02", end).count() == whole
+    assert op.in_time_range(activity, "2019-10-02", dt.datetime(2019, 10, 2)).count() < whole
+
+
+def test_text_times_are_parsed(activity):
+    text = activity.withColumn("event_time", F.col("event_time").cast("string"))
+    assert op.in_time_range(text, "2019-10-02", "2019-10-02").count() == op.in_time_range(
+        activity, "2019-10-02", "2019-10-02").count()
+    assert op.daily_sales(text, "2019-10-01", "2019-10-02").collect() == op.daily_sales(
+        activity, "2019-10-01", "2019-10-02").collect()
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo"])
+def test_days_of_another_zone(spark, tmp_path, zone):
+    rows = [(dt.datetime(2019, 10, day, hour), "purchase", 1, 1.0, 1) for day in range(1, 6) for hour in (0, 12, 23)]
+    by_day = spark.createDataFrame(rows, SCHEMA).withColumn("event_date", F.to_date("event_time"))
+    by_day.write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stored = spark.read.parquet(str(tmp_path / "t"))
+        wanted = ("2019-10-02 20:00:00", "2019-10-03 05:00:00")
+        pruned = op.in_time_range(stored, *wanted)
+        assert pruned.count() == op.in_time_range(stored.drop("event_date"), *wanted).count() > 0
+        assert "event_date" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_odd_prices_spoil_only_their_own_sums(spark):
+    nan, inf = float("nan"), float("inf")
+    prices = [(1, 2.5), (1, 1.5), (2, nan), (2, 1.0), (3, inf), (4, inf), (4, -inf), (5, None)]
+    df = spark.createDataFrame([(mini.time(0), "purchase", p, price, 2) for p, price in prices], SCHEMA)
+    sums = {r.product_id: r.total_sales for r in op.product_sales(df).collect()}
+    assert sums[1] == 4.0 and sums[3] == inf and sums[5] is None
+    assert math.isnan(sums[2]) and math.isnan(sums[4])
+    per_move = {r.product_id: r.sales_per_movement for r in op.sales_per_movement(df).collect()}
+    assert per_move[1] == 1.0 and per_move[3] == inf and math.isnan(per_move[2])
+    assert {r.sales_percentage for r in op.sales_share(df).collect()} == {None}
+    # No sum first, then NaN, which is the largest number.
+    assert [r.product_id for r in op.top_products(df, 4).collect()] == [5, 2, 4, 3]
+    assert math.isnan(op.daily_sales(df, "2019-10-01", "2019-10-01").first().total_sales)
+    finite = df.where("product_id = 1")
+    assert op.daily_sales(finite, "2019-10-01", "2019-10-01").first().total_sales == 4.0
+    assert float(op.sales_share(finite).first().sales_percentage) == 100.0

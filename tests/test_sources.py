@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests import mini
@@ -13,9 +14,10 @@ from tillroll.sources import (
     find_csv,
     read_events,
     read_inferred,
-    replace_batch,
+    replace_partitions,
     replace_table,
     usable_files,
+    with_source_file,
 )
 from tillroll.sources import jdbc
 
@@ -50,7 +52,7 @@ def test_only_csv_files_of_the_folder(spark, tmp_path):
     for name in ("b.csv", "a.csv", "notes.txt"):
         mini.write(tmp_path, name, mini.HEADER)
     mini.write(tmp_path / "deeper", "c.csv", mini.HEADER)
-    assert [path.rsplit("/", 1)[1] for path in find_csv(spark, str(tmp_path))] == ["a.csv", "b.csv"]
+    assert [file.name for file in find_csv(spark, str(tmp_path))] == ["a.csv", "b.csv"]
 
 
 def test_unusable_files_are_named(spark, tmp_path):
@@ -59,7 +61,7 @@ def test_unusable_files_are_named(spark, tmp_path):
     mini.write(tmp_path, "swapped.csv", mini.HEADER.replace("event_time,event_type", "event_type,event_time"))
     mini.write(tmp_path, "void.csv", "")
     usable, skipped = usable_files(spark, str(tmp_path), FIELDS)
-    assert [path.rsplit("/", 1)[1] for path in usable] == ["good.csv"]
+    assert [file.name for file in usable] == ["good.csv"]
     assert {file.path.rsplit("/", 1)[1] for file in skipped} == {"other.csv", "swapped.csv", "void.csv"}
     assert all(file.reason for file in skipped)
 
@@ -74,6 +76,34 @@ def test_archive_moves_and_never_overwrites(spark, tmp_path):
     assert (tmp_path / "old" / "m.csv").read_text() == "1" and (tmp_path / "new" / "m.csv").exists()
 
 
+def test_no_file_is_moved_if_one_cannot_be(spark, tmp_path):
+    paths = [mini.write(tmp_path / "new", f"{n}.csv", n) for n in "abc"]
+    mini.write(tmp_path / "old", "b.csv", "old")
+    with pytest.raises(FileExistsError, match="b.csv"):
+        archive_files(spark, paths, str(tmp_path / "old"))
+    assert sorted(p.name for p in (tmp_path / "new").glob("*.csv")) == ["a.csv", "b.csv", "c.csv"]
+
+
+def test_names_are_no_patterns(spark, tmp_path):
+    folder = tmp_path / "in[1]{x}"
+    path = mini.write(folder, "a[1].csv", mini.HEADER + mini.NEXT_MONTH)
+    mini.write(folder, "a1.csv", mini.HEADER + mini.LINES)
+    usable, skipped = usable_files(spark, str(folder), FIELDS)
+    assert [file.name for file in usable] == ["a1.csv", "a[1].csv"] and skipped == []
+    assert read_events(spark, path).count() == 3
+    assert {r.source_file for r in with_source_file(read_events(spark, path)).collect()} == {"a[1].csv"}
+
+
+def test_headers_are_read_without_a_job(spark, tmp_path):
+    for n in range(5):
+        mini.write(tmp_path, f"{n}.csv", mini.HEADER + mini.LINES)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "")
+    assert len(usable_files(spark, str(tmp_path), FIELDS)[0]) == 5
+    assert list(tracker.getJobIdsForGroup("headers")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
 def test_table_life(spark):
     create_table_if_missing(spark, "life", MASTER_SCHEMA)
     create_table_if_missing(spark, "life", MASTER_SCHEMA)
@@ -100,9 +130,8 @@ def test_replaced_batch_leaves_no_old_partition(spark, mode):
     spark.conf.set(key, mode)
     try:
         rows = spark.createDataFrame([(1, 1), (2, 2)], "day int, n int")
-        replace_batch(rows, name, "batch", "it's a")
-        replace_batch(rows, name, "batch", "b")
-        replace_batch(rows.where("day = 1"), name, "batch", "it's a")
+        for batch, some in (("it's a", rows), ("b", rows), ("it's a", rows.where("day = 1"))):
+            replace_partitions(some.withColumn("batch", F.lit(batch)), name, ["batch"], [(batch,)])
         assert spark.conf.get(key) == mode
     finally:
         spark.conf.set(key, before)
@@ -114,7 +143,7 @@ def test_replaced_batch_leaves_no_old_partition(spark, mode):
 def test_batches_need_their_partition(spark):
     create_table_if_missing(spark, "flat", T.StructType.fromDDL("n int, batch string"))
     with pytest.raises(ValueError, match="partitioned"):
-        replace_batch(spark.createDataFrame([(1,)], "n int"), "flat", "batch", "b")
+        replace_partitions(spark.createDataFrame([(1, "b")], "n int, batch string"), "flat", ["batch"], [("b",)])
     drop_table(spark, "flat")
 
 
@@ -143,7 +172,9 @@ def database(monkeypatch):
 
 def test_database_read_is_split(database):
     session = _Session()
-    jdbc.read_table(session, database, "t")
+    jdbc.read_table(session, database, "t", jdbc.SINGLE_CONNECTION)
+    with pytest.raises(TypeError):
+        jdbc.read_table(session, database, "t")
     jdbc.read_table(session, database, "t", jdbc.Split("id", 1, 9, 4))
     jdbc.read_table(session, database, "t", jdbc.Split(predicates=["a < 1", "a >= 1"]))
     (whole, by_range, by_predicate) = [call[1] for call in session.read.calls]

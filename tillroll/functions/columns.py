@@ -29,13 +29,31 @@ def day_of(time: Column) -> Column:
 
 
 def to_units(price: Column) -> Column:
-    """A price as a whole number of hundredths of a cent.
+    """A price as a whole number of hundredths of a cent; NULL for NaN and infinity.
 
     Sums of whole numbers do not depend on the order of the rows, as sums of doubles do,
     and stay in primitive arithmetic, as sums of decimals do not. Too large a price or sum
     raises under ANSI mode.
     """
-    return F.rint(price * UNITS).cast("long")
+    return F.when(is_finite(price), F.rint(price * UNITS).cast("long"))
+
+
+def is_finite(price: Column) -> Column:
+    number = price.cast("double")
+    return ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+
+
+def sum_of_odd(price: Column) -> Column:
+    """The sum of the prices that are NaN or infinite, NULL if there is none.
+
+    It is NaN or infinite itself and does not depend on the order of the rows.
+    """
+    return F.sum(F.when(~is_finite(price), price.cast("double")))
+
+
+def sum_of_prices(price: Column) -> Column:
+    """The sum of prices as a double: exact to the unit, NaN or infinite if one of them is."""
+    return F.coalesce(sum_of_odd(price), from_units(F.sum(to_units(price))))
 
 
 def from_units(units: Column) -> Column:

@@ -16,10 +16,10 @@ from tillroll.operators.master import (
     union_by_name,
 )
 from tillroll.operators.movement import (
+    SLICE_WIDTHS,
     add_purchase_movement,
     add_purchase_movement_sliced,
     build_activity,
-    most_rows_per_group,
 )
 from tillroll.operators.profiling import preview, profile, sample_values, unique_counts
 from tillroll.operators.sales import (
@@ -33,6 +33,7 @@ from tillroll.operators.sales import (
 )
 
 __all__ = [
+    "SLICE_WIDTHS",
     "add_purchase_movement",
     "add_purchase_movement_sliced",
     "build_activity",
@@ -46,7 +47,6 @@ __all__ = [
     "empty_master",
     "in_time_range",
     "merge_master",
-    "most_rows_per_group",
     "new_master_rows",
     "preview",
     "product_rows",

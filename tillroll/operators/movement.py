@@ -31,7 +31,7 @@ def add_purchase_movement(df: DataFrame) -> DataFrame:
     return _with_time(df).withColumn("purchase_movement", F.row_number().over(by_time))
 
 
-def add_purchase_movement_sliced(df: DataFrame, width: str = "hour") -> DataFrame:
+def add_purchase_movement_sliced(df: DataFrame, width: str = "day") -> DataFrame:
     """The same numbers with each group cut into time slices.
 
     Rows are numbered within (product, session, slice), so a group that holds a large
@@ -67,21 +67,10 @@ def add_purchase_movement_sliced(df: DataFrame, width: str = "hour") -> DataFram
     )
 
 
-def most_rows_per_group(df: DataFrame) -> DataFrame:
-    """One row, ``bound``: no (product, session) of ``df`` can have more rows.
+def build_activity(df: DataFrame, slice_width: str | None = None) -> DataFrame:
+    """Staged events to activity rows: blank-filled levels and purchase movement.
 
-    For rows without duplicate keys, the number of whole seconds between the first and
-    the last event, or of microseconds if an event has a fraction. Reads one column and
-    shuffles nothing but one row per task.
+    ``slice_width`` numbers groups in slices of time, see :func:`add_purchase_movement_sliced`.
     """
-    micros = F.unix_micros(F.col("event_time").cast("timestamp"))
-    fraction = F.max(F.when(micros % 1_000_000 != 0, 1).otherwise(0))
-    unit = F.when(fraction == 1, 1).otherwise(1_000_000)
-    bound = F.floor((F.max(micros) - F.min(micros)) / unit) + 1
-    return df.agg(F.coalesce(bound, F.lit(0)).alias("bound"))
-
-
-def build_activity(df: DataFrame, sliced: bool = False) -> DataFrame:
-    """Staged events to activity rows: blank-filled levels and purchase movement."""
-    number = add_purchase_movement_sliced if sliced else add_purchase_movement
-    return df.transform(number).transform(split_category, missing="")
+    numbered = add_purchase_movement_sliced(df, slice_width) if slice_width else add_purchase_movement(df)
+    return numbered.transform(split_category, missing="")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -9,12 +10,14 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schemas import EVENT_SCHEMA
-from tillroll.sources.files import list_files
+from tillroll.sources.files import FileFacts, first_line, list_files, plain_path
 
-CSV_GLOB = "*.csv"
+CSV_ENDING = ".csv"
+SOURCE_FILE = "source_file"
 
 # What reading a broken file raises: while planning, or from a job.
 FILE_ERRORS = (PySparkException, Py4JJavaError)
@@ -31,34 +34,45 @@ def reason_of(error: Exception) -> str:
     return str(cause).partition("\n")[0]
 
 
-def find_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the ``*.csv`` files directly in ``folder``; no file is opened."""
-    return list_files(spark, folder, CSV_GLOB)
+def find_csv(spark: SparkSession, folder: str) -> list[FileFacts]:
+    """The ``*.csv`` files directly in ``folder``; no file is opened."""
+    return list_files(spark, folder, CSV_ENDING)
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the first line, read through the file system without a job."""
+    line = first_line(spark, path)
+    return next(csv.reader([line.removeprefix("﻿")]), []) if line else []
 
 
 def usable_files(
     spark: SparkSession, folder: str, columns: Sequence[str] = (), files_at_once: int = 16
-) -> tuple[list[str], list[SkippedFile]]:
+) -> tuple[list[FileFacts], list[SkippedFile]]:
     """The files whose header starts with ``columns``, and the others with a reason.
 
-    Only the first line of each file is read. Fields are matched by position later,
-    so a file with another header would load wrong values without any error.
+    Only the first line of each file is read, by the driver and without a Spark job. Fields
+    are matched by position later, so a file with another header would load wrong values
+    without any error.
     """
 
-    def problem(path: str) -> str | None:
+    def problem(file: FileFacts) -> str | None:
         try:
-            header = spark.read.option("header", True).csv(path).columns
+            header = header_of(spark, file.path)
         except FILE_ERRORS as error:
             return reason_of(error)
         if not header:
             return "empty file"
         return None if header[: len(columns)] == list(columns) else f"unexpected header: {', '.join(header)}"
 
-    paths = find_csv(spark, folder)
+    files = find_csv(spark, folder)
     with ThreadPoolExecutor(files_at_once) as pool:
-        problems = dict(zip(paths, pool.map(problem, paths), strict=True))
-    usable = [path for path, reason in problems.items() if reason is None]
-    return usable, [SkippedFile(path, reason) for path, reason in problems.items() if reason is not None]
+        problems = list(zip(files, pool.map(problem, files), strict=True))
+    usable = [file for file, reason in problems if reason is None]
+    return usable, [SkippedFile(file.path, reason) for file, reason in problems if reason is not None]
+
+
+def _plain(paths: str | Sequence[str]) -> list[str]:
+    return [plain_path(path) for path in ([paths] if isinstance(paths, str) else paths)]
 
 
 def read_events(
@@ -66,16 +80,23 @@ def read_events(
 ) -> DataFrame:
     """Events with their fixed types; a cell of another type becomes NULL, its row stays.
 
-    ``corrupt_column`` names an added column with the text of such rows.
+    ``corrupt_column`` names an added column with the text of such rows. Paths are names,
+    not patterns.
     """
     schema, reader = EVENT_SCHEMA, spark.read.option("header", True)
     if corrupt_column is not None:
         schema = T.StructType([*EVENT_SCHEMA, T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
+    return reader.schema(schema).csv(_plain(paths))
+
+
+def with_source_file(df: DataFrame) -> DataFrame:
+    """Rows of a file source with the name of their file, which Spark gives URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return df.withColumn(SOURCE_FILE, F.url_decode(encoded))
 
 
 def read_inferred(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Files with types taken from all of their values, which reads them once more."""
     reader = spark.read.option("header", True).option("inferSchema", True)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    return reader.csv(_plain(paths))

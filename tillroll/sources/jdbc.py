@@ -42,19 +42,23 @@ class Split:
     predicates: Sequence[str] = field(default_factory=tuple)
 
 
+#: Said for small tables only: everything comes through one connection and one task.
+SINGLE_CONNECTION = Split()
+
+
 def read_table(
     spark: SparkSession,
     database: Database,
     table: str,
-    split: Split | None = None,
+    split: Split,
     fetch_size: int = 10_000,
 ) -> DataFrame:
     """A database table; filters and column lists are sent to the database.
 
-    Without ``split`` the whole table comes through one connection.
+    ``SINGLE_CONNECTION`` as ``split`` reads a small table through one connection.
     """
     properties = {**database.properties(), "fetchsize": str(fetch_size)}
-    if split is None:
+    if split == SINGLE_CONNECTION:
         return spark.read.jdbc(database.url, table, properties=properties)
     if split.predicates:
         return spark.read.jdbc(
@@ -76,9 +80,9 @@ def even_split(
 ) -> Split:
     """Ranges over the column's own smallest and largest value, asked of the database."""
     query = f"(SELECT MIN({column}) AS lowest, MAX({column}) AS highest FROM {table}) bounds"
-    bounds = read_table(spark, database, query).first()
+    bounds = read_table(spark, database, query, SINGLE_CONNECTION).first()
     if bounds is None or bounds["lowest"] is None:
-        return Split()
+        return SINGLE_CONNECTION
     return Split(column, bounds["lowest"], bounds["highest"], partitions)
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -40,34 +40,27 @@ def append_rows(df: DataFrame, name: str) -> None:
     df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
 
 
-def replace_batch(df: DataFrame, name: str, key: str, batch: str) -> None:
-    """Make ``df`` the only rows with ``key = batch``; other batches stay as they are.
+def replace_partitions(df: DataFrame, name: str, outer: Sequence[str], values: Sequence[Sequence[str]]) -> None:
+    """Make ``df`` the only rows of the partitions with these ``values`` of the ``outer`` keys.
 
-    ``key`` is the first partition column and no column of ``df``. Loading a batch once
-    more replaces its rows, also in partitions the new rows no longer reach.
+    ``outer`` are the first partition columns. Everything else stays as it is, and so a load
+    that is repeated replaces its own rows only, also in inner partitions that the new rows
+    no longer reach. The old partitions go first: after a failure in between, repeat the load.
     """
     spark = df.sparkSession
-    columns = [column for column in spark.table(name).columns if column != key]
     partitions = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
-    if partitions[:1] != [key]:
-        raise ValueError(f"{name} is not partitioned by {key} first")
-    layout = ", ".join([f"{key} = '{_quoted(batch)}'", *partitions[1:]])
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({layout}) SELECT * FROM {{rows}}",
-            rows=df.select(*columns),
-        )
+    if partitions[: len(outer)] != list(outer):
+        raise ValueError(f"{name} is not partitioned by {', '.join(outer)} first")
+    old = []
+    for combination in values:
+        spec = ", ".join(f"{key} = '{_quoted(value)}'" for key, value in zip(outer, combination, strict=True))
+        for row in spark.sql(f"SHOW PARTITIONS {name} PARTITION ({spec})").collect():  # the days of one file
+            pairs = [part.split("=", 1) for part in row[0].split("/")]
+            old.append(", ".join(f"{key} = '{_quoted(unquote(value))}'" for key, value in pairs))
+    if old:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec in old))
+    append_rows(df, name)
 
 
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
-
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
