@@ -30,6 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -250,7 +251,7 @@ def in_pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Recor
         column = batch.column(batch.schema.get_field_index(text))
         if column.type != pa.string():
             column = column.cast(pa.string())
-        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(lengths, dtype=np.int64), 0
         while start < len(ends):
             base = ends[start - 1] if start else 0
