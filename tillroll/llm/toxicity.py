@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,13 +56,17 @@ LEXICONS = {
     "french": "idiot idiote imbécile crétin minable ordure dégoûtant stupide nul connard",
     "spanish": "idiota estúpido imbécil basura asqueroso perdedor inútil patético escoria payaso",
 }
-#: Patterns, one voter each, over the whole text in UTF-8.
+#: Patterns, one voter each, over the whole text in UTF-8. Before a pattern is
+#: searched for, one of the strings beside it must be in the text in lower case.
 PATTERNS = {
-    "commands": rb"(?i)\b(?:shut up|get lost|go to hell|drop dead|go away|kill yourself)\b",
-    "address": rb"(?i)\byou(?:'re| are)? (?:an? |such an? |so |all |a bunch of )",
-    "shouting": rb"(?:\b[A-Z]{4,}\b[ ,!]+){3}",
-    "exclaiming": rb"!{2,}",
-    "masked": rb"\b[a-zA-Z]{1,3}[*@#$]{2,}[a-zA-Z]{0,3}\b",
+    "commands": (
+        (b"shut up", b"get lost", b"go to hell", b"drop dead", b"go away", b"kill yourself"),
+        rb"(?i)\b(?:shut up|get lost|go to hell|drop dead|go away|kill yourself)\b",
+    ),
+    "address": ((b"you ", b"you'"), rb"(?i)\byou(?:'re| are)? (?:an? |such an? |so |all |a bunch of )"),
+    "shouting": ((), rb"[A-Z]{4}(?<!\w[A-Z]{4})[A-Z]*[ ,!]+(?:[A-Z]{4,}[ ,!]+){2}"),
+    "exclaiming": ((b"!!",), rb"!!"),
+    "masked": ((b"*", b"@", b"#", b"$"), rb"\b[a-zA-Z]{1,3}[*@#$]{2,}[a-zA-Z]{0,3}\b"),
 }
 
 
@@ -79,6 +83,18 @@ def terms_of(words: set[bytes]) -> set[bytes]:
     return terms
 
 
+class Finder:
+    """Which of some terms the words of a text hold."""
+
+    def __init__(self, terms: Iterable[bytes]):
+        self.terms = frozenset(terms)
+        self.starts = frozenset([t[: min(STEMS)] for t in self.terms])
+
+    def found(self, words: list[bytes]) -> set[bytes]:
+        n, starts = min(STEMS), self.starts
+        return self.terms & terms_of({w for w in set(words) if w[:n] in starts})
+
+
 @dataclass
 class Voters:
     """Lists, patterns and single terms; the position is the voter's bit."""
@@ -87,9 +103,13 @@ class Voters:
 
     def __post_init__(self) -> None:
         self.lists = [frozenset(w.encode() for w in text.split()) for text in LEXICONS.values()]
-        self.patterns = [re.compile(p).search for p in PATTERNS.values()]
+        self.patterns = [(needed, re.compile(p).search) for needed, p in PATTERNS.values()]
         self.single = {t: k for k, t in enumerate(self.terms, len(self.lists) + len(self.patterns))}
         self.listed = frozenset().union(*self.lists)
+        self.finder = Finder(self.listed | self.single.keys())
+
+    def votes_of(self, data: bytes) -> int:
+        return self.votes(data, self.finder.found(words_of(data)))
 
     def __len__(self) -> int:
         return len(self.lists) + len(self.patterns) + len(self.single)
@@ -100,8 +120,9 @@ class Voters:
             for k, words_of_list in enumerate(self.lists):
                 if not words_of_list.isdisjoint(hits):
                     bits |= 1 << k
-        for k, search in enumerate(self.patterns, len(self.lists)):
-            if search(data):
+        lower = data.lower()
+        for k, (needed, search) in enumerate(self.patterns, len(self.lists)):
+            if (not needed or any(n in lower for n in needed)) and search(data):
                 bits |= 1 << k
         for term in self.single.keys() & terms:
             bits |= 1 << self.single[term]
@@ -290,8 +311,11 @@ class Classifier:
     of_voters: np.ndarray
     bias: float
 
+    def __post_init__(self) -> None:
+        self.finder = Finder(self.terms.keys() | self.voters.finder.terms)
+
     def score(self, data: bytes) -> float:
-        terms = terms_of(set(words_of(data)))
+        terms = self.finder.found(words_of(data))
         own, votes = self.terms, self.voters.votes(data, terms)
         logit = self.bias + sum([own[t] for t in sorted(own.keys() & terms)])
         for k, w in enumerate(self.of_voters.tolist()):
@@ -331,7 +355,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [voters.votes(data, terms_of(set(words_of(data)))) for data in _texts(batch, "text")]
+            bits = [voters.votes_of(data) for data in _texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, pa.int64())], names=["doc_id", "votes"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -341,12 +365,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     # The classifier's terms: those that tell most, for or against.
     weighed = {t: k for k, (t, _, _) in enumerate(counted)}
     n, m = len(weighed), len(voters)
+    finder = Finder(weighed.keys() | voters.finder.terms)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, bits = [], []
             for data in _texts(batch, "text"):
-                terms = terms_of(set(words_of(data)))
+                terms = finder.found(words_of(data))
                 bits.append(voters.votes(data, terms))
                 found = sorted(weighed[t] for t in weighed.keys() & terms)
                 ids.append(np.array(found, "<i4").tobytes())
