@@ -174,6 +174,9 @@ FROM moved"""
 
 _MERGED = f"WITH {_REBRANDED} {_products('catalogue')} UNION {_products('rebranded')}"
 
+_ORDER_ACTIVITY = f"""WITH {_ORDER_MOVED}
+SELECT {_ORDER_COLUMNS}, DATE '2024-02-01' AS processed_date, purchase_movement, {_levels('')} FROM moved"""
+
 ORACLE_SQL: dict[str, str] = {
     "stamp_processed_date": (
         "SELECT event_id, ts, event_type, DATE '2024-02-01' AS processed_date FROM events"
@@ -218,8 +221,8 @@ UNION ALL SELECT product_id, category_id, category_code, brand FROM rebranded"""
     + ", ".join(f'{name} AS "{label}"' for name, label in TOP_PRODUCT_LABELS.items())
     + f" {_TOP}",
     "order_line_report": f"WITH {_ORDER_CLEAN} {_report('order_lines')}",
-    "order_line_activity": f"""WITH {_ORDER_MOVED}
-SELECT {_ORDER_COLUMNS}, DATE '2024-02-01' AS processed_date, purchase_movement, {_levels('')} FROM moved""",
+    "order_line_activity": _ORDER_ACTIVITY,
+    "order_line_activity_sliced": _ORDER_ACTIVITY,
     "order_line_daily_sales": f"WITH {_ORDER_MOVED} {_daily(_ORDER_RANGE)}",
     "order_line_top_products": f"WITH {_ORDER_TOTALS} SELECT * {_TOP}",
     "order_line_sales_share": f"WITH {_ORDER_TOTALS} SELECT product_id, total_sales, sales_percentage FROM report",

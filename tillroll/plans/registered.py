@@ -152,8 +152,12 @@ def order_line_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.build_activity(op.clean_events(fx.order_lines(spark, sf_dir), LOAD_DATE))
 
 
+def order_line_activity_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.build_activity(op.clean_events(fx.order_lines(spark, sf_dir), LOAD_DATE), slice_width="day")
+
+
 def order_line_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.daily_sales(order_line_activity(spark, sf_dir), "1999-01-01", "2001-12-31")
+    return op.daily_sales(order_line_activity(spark, sf_dir), "1999-01-01", "2001-12-31 00:00:00")
 
 
 def order_line_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,6 +223,7 @@ QUERIES: dict[str, Query] = {
         top_products_panel,
         order_line_report,
         order_line_activity,
+        order_line_activity_sliced,
         order_line_daily_sales,
         order_line_top_products,
         order_line_sales_share,
