@@ -38,9 +38,13 @@ from pyspark.sql import types as T
 from tillroll.llm.common import columns_free_of
 
 #: Chunks and words whose tokens a worker keeps, each; beyond it that table starts anew.
-KEPT_STRINGS = 600_000
+KEPT_STRINGS = 150_000
+#: Arcs that were met and are kept, beyond which that table starts anew too.
+KEPT_ARCS = 400_000
 #: Bytes of text that are encoded before a batch of rows is given on.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
+#: Rows that are decoded before they are given on.
+ROWS_AT_ONCE = 128
 
 
 def byte_symbols() -> list[str]:
@@ -62,7 +66,7 @@ class Automaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.cut: dict[tuple[int, int], int] = {}
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
         self.trie: dict = {}
         ending = {u: u.removesuffix("</w>") for u in vocabulary}
         bases = [t for t, bare in ending.items() if len(bare) == 1]
@@ -86,9 +90,11 @@ class Automaton:
 
     def arc(self, a: int, b: int) -> bool:
         """Does the state after ``a`` have an arc ``b``?"""
-        known = self.arcs.get((a, b))
+        known = self.arcs.get(a << 32 | b)
         if known is None:
-            known = self.arcs[a, b] = self._arc(a, b)
+            if len(self.arcs) >= KEPT_ARCS:
+                self.arcs.clear()
+            known = self.arcs[a << 32 | b] = self._arc(a, b)
         return known
 
     def _arc(self, a: int, b: int) -> bool:
@@ -135,7 +141,7 @@ class Automaton:
                 if entered[end]:
                     continue
                 if tokens:
-                    allowed = arcs.get((tokens[-1], token))
+                    allowed = arcs.get(tokens[-1] << 32 | token)
                     if not (self.arc(tokens[-1], token) if allowed is None else allowed):
                         continue
                 tokens.append(token)
@@ -190,7 +196,6 @@ class WordBpe:
             raise ValueError("word ends marked </w> and no decoder are expected")
         self.vocabulary: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = {number: token for token, number in (self.vocabulary | self.special).items()}
         self.automaton = Automaton(self.vocabulary, [tuple(m) for m in model["merges"]])
         self.words = regex.compile(splitter["pretokenizers"][0]["pattern"]["Regex"], regex.V0).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
@@ -233,11 +238,6 @@ class WordBpe:
         packed = [pack([special[p]]) if k % 2 else self._plain(p) for k, p in enumerate(parts)]
         return np.frombuffer(b"".join(packed), "<u4")
 
-    def decode(self, ids: np.ndarray | list[int]) -> str:
-        """The labels of the arcs, with a space between, as the file names no decoder."""
-        labels = self.labels
-        return " ".join([labels[i] for i in ids])
-
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBpe:
@@ -245,6 +245,20 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@functools.lru_cache(maxsize=2)
+def arc_labels(path: str) -> dict[int, str]:
+    """The string of each token; all that decoding needs."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    labels = {number: token for token, number in spec["model"]["vocab"].items()}
+    return labels | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+def decode(labels: dict[int, str], ids: list[int]) -> str:
+    """The labels of the arcs, with a space between, as the file names no decoder."""
+    return " ".join([labels[i] for i in ids])
+
+
 def in_pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``BATCH_BYTES`` of text, or of one row."""
     for batch in batches:
@@ -300,12 +314,11 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "
     schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
+        labels = arc_labels(path)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            for at in range(0, len(lists), 256):
-                piece = batch.slice(at, 256)
-                texts = [bpe.decode(x.tolist()) for x in id_lists(piece.column(piece.schema.get_field_index(ids)))]
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                piece = batch.slice(at, ROWS_AT_ONCE)
+                texts = [decode(labels, x.tolist()) for x in id_lists(piece.column(piece.schema.get_field_index(ids)))]
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, pa.array(texts, pa.string())], names=[*piece.schema.names, name]
                 )
