@@ -381,7 +381,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             )
 
     made = sample.select("text", "label").mapInArrow(features, "terms binary, votes long, p double")
-    got = made.orderBy("votes", "terms", "p").collect()  # bounded by TRAIN_ROWS
+    # Bounded by TRAIN_ROWS; in a fixed order, as sums of floats depend on it.
+    got = sorted(made.collect(), key=lambda r: (r["votes"], bytes(r["terms"]), r["p"]))
     lists = [
         np.concatenate([np.frombuffer(r["terms"], "<i4"), n + np.flatnonzero(unpack(np.array([r["votes"]]), m)[0])])
         for r in got
