@@ -18,7 +18,8 @@ from tillroll.llm.common import shared_folder, stored
 
 SHARDS = 16
 SEED = 20_240_229
-#: Bytes of text in a bucket, on the mean; a bucket is put into order in memory.
+#: Bytes of text in a bucket, on the mean; a bucket is put into order in memory by one task.
+#: Where tasks have more memory than a gigabyte, larger buckets make fewer tasks.
 BUCKET_BYTES = 16_000_000
 #: Buckets summed up in one step, and whose beginnings may be broadcast (16 bytes each).
 BLOCK, BROADCAST_BUCKETS = 4096, 500_000
@@ -60,7 +61,7 @@ def shuffled_shards(
     )
     total, rows = packed.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(shards, -(-total // bucket_bytes))
-    keyed = packed.withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    keyed = packed.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
     # Where each bucket begins, in two steps, so that no task gets the counts of all buckets.
     counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -75,7 +76,8 @@ def shuffled_shards(
     if buckets <= BROADCAST_BUCKETS:
         starts = F.broadcast(starts)
 
-    scattered = keyed.select("bucket", "key", "record").repartition(buckets, "bucket")
+    # One bucket for each task: hashing bucket numbers once more would bring several into one.
+    scattered = keyed.select("bucket", "key", "record").repartitionById(buckets, F.col("bucket"))
     in_memory = (
         scattered.sortWithinPartitions("bucket", "key")  # the same order when a task runs again
         .groupBy("bucket")
