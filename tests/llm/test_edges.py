@@ -185,15 +185,15 @@ def test_components(spark):
 
 
 def test_sharding(spark, odd):
-    written = sharding.shuffled_shards(odd, shards=4, bucket_bytes=100)
+    written = sharding.shuffled_shards(odd, shards=4, bucket_bytes=100_000)
     rows = written.collect()
     assert Counter((r.record.doc_id, r.record.text) for r in rows) == Counter(ODD)
     assert Counter(r.shard for r in rows) == Counter({0: 3, 1: 2, 2: 2, 3: 2})
     assert written.select("record.*").columns == odd.columns
-    again = sharding.shuffled_shards(odd.repartition(5), shards=4, bucket_bytes=100).collect()
+    again = sharding.shuffled_shards(odd.repartition(5), shards=4, bucket_bytes=100_000).collect()
     order = lambda found: sorted((r.shard, r.slot, str(r.record)) for r in found)
     assert order(again) == order(rows)
-    other = sharding.shuffled_shards(odd, shards=4, seed=1, bucket_bytes=100).collect()
+    other = sharding.shuffled_shards(odd, shards=4, seed=1, bucket_bytes=100_000).collect()
     assert order(other) != order(rows)
     assert sharding.shuffled_shards(odd.where("false")).count() == 0
     assert sorted(r.slot for r in sharding.shuffled_shards(odd.limit(1)).collect()) == [0]
@@ -301,7 +301,7 @@ def test_runs_of_lines_against_brute_force(spark):
     rng = random.Random(2)
     rows = [(k, "\n".join(rng.choice(["a", "b c", "d e f", "", "g"]) for _ in range(rng.randint(1, 14)))) for k in range(40)]
     rows += [(100 + k, rows[k][1] + "\nx y z") for k in range(5)]
-    for words in (1, 4, 7):
+    for words in (1, 5):
         seen, wanted = set(), {}
         for i, text in sorted(rows):
             lines = text.split("\n")
