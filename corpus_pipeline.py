@@ -42,9 +42,8 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text that they decode to."""
-    path = public_tokenizers.path(WORD_BPE)
-    encoded = bpe.encode_texts(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    return bpe.decode_ids(encoded, path)
+    found = bpe.round_trip(docs.select("doc_id", "text"), public_tokenizers.path(WORD_BPE))
+    return found.select("doc_id", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

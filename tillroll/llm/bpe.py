@@ -62,10 +62,9 @@ class Automaton:
     """The merge gadgets, put in one after the other, and a trie of arc labels."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
-        self.born: dict[int, int] = dict.fromkeys(vocabulary.values(), 0)
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.cut: dict[tuple[int, int], int] = {}
+        n = max(vocabulary.values()) + 1
+        self.born, self.left, self.right = ([0] * n for _ in range(3))
+        self.cut: dict[int, int] = {}
         self.arcs: dict[int, bool] = {}
         self.trie: dict = {}
         ending = {u: u.removesuffix("</w>") for u in vocabulary}
@@ -78,7 +77,7 @@ class Automaton:
 
     def _gadget(self, time: int, u: int, v: int, w: int) -> None:
         self.born[w], self.left[w], self.right[w] = time, u, v
-        self.cut[u, v] = time
+        self.cut[u << 32 | v] = time
 
     def _label(self, token: str, number: int) -> None:
         bare = token.removesuffix("</w>")
@@ -100,7 +99,7 @@ class Automaton:
     def _arc(self, a: int, b: int) -> bool:
         until = len(self.born) * 2  # gadgets put in before this time count
         while True:
-            if self.cut.get((a, b), until) < until:
+            if self.cut.get(a << 32 | b, until) < until:
                 return False
             born_a, born_b = self.born[a], self.born[b]
             if not born_a and not born_b:
@@ -274,53 +273,77 @@ def in_pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Recor
             start = stop
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def _encoded(
+    batches: Iterator[pa.RecordBatch], path: str, text: str, name: str, packed: bool
+) -> Iterator[pa.RecordBatch]:
+    bpe = tokenizer(path)
+    for batch in in_pieces(batches, text):
+        found = [bpe.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        if packed:
+            column = pa.array([f.tobytes() for f in found], pa.binary())
+        else:
+            ends = np.cumsum([0, *map(len, found)])
+            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view("<i4")))
+        yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, ids: str, name: str) -> Iterator[pa.RecordBatch]:
+    labels = arc_labels(path)
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            piece = batch.slice(at, ROWS_AT_ONCE)
+            lists = id_lists(piece.column(piece.schema.get_field_index(ids)))
+            texts = pa.array([decode(labels, x.tolist()) for x in lists], pa.string())
+            yield pa.RecordBatch.from_arrays([*piece.columns, texts], names=[*piece.schema.names, name])
+
+
+def _ids_field(name: str, packed: bool) -> T.StructField:
+    return T.StructField(name, T.BinaryType() if packed else T.ArrayType(T.IntegerType(), False), False)
+
+
+def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", packed: bool = False) -> DataFrame:
     """``docs`` with the token ids of each whole text in a new column ``ids``.
 
-    Null and empty texts give an empty list. All other columns are kept as they are; if one
-    is named like ``ids``, the new column gets the name with ``_`` added. Repeated rows are
-    each encoded. An empty table gives an empty one.
+    The ids are a list or, if ``packed``, little-endian unsigned 32-bit integers. Null and
+    empty texts have none. All other columns are kept as they are; if one is named like
+    ``ids``, the new column gets the name with ``_`` added. Repeated rows are each encoded.
+    An empty table gives an empty one.
     """
     (name,) = columns_free_of(docs, ids)
-    schema = T.StructType([*docs.schema, T.StructField(name, T.ArrayType(T.IntegerType(), False), False)])
+    schema = T.StructType([*docs.schema, _ids_field(name, packed)])
+    return docs.mapInArrow(lambda batches: _encoded(batches, path, text, name, packed), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
-        for batch in in_pieces(batches, text):
-            found = [bpe.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            ends = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(f) for f in found], out=ends[1:])
-            values = np.concatenate(found).view("<i4") if found else np.empty(0, "<i4")
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
-
-    return docs.mapInArrow(run, schema)
 
-
-def id_lists(column: pa.ListArray) -> Iterator[np.ndarray]:
-    """The lists of an Arrow column without copying them; null is empty."""
-    values = column.values.to_numpy(zero_copy_only=False)
-    ends = column.offsets.to_numpy()
-    for k, valid in enumerate(column.is_valid().to_pylist()):
-        yield values[ends[k] : ends[k + 1]] if valid else values[:0]
+def id_lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each row of an Arrow column of lists or packed ids; null has none."""
+    valid = column.is_valid().to_pylist()
+    if pa.types.is_binary(column.type):
+        for value in column:
+            yield np.frombuffer(value.as_py() or b"", "<u4")
+        return
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    for k, there in enumerate(valid):
+        yield values[ends[k] : ends[k + 1]] if there else values[:0]
 
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``encoded`` with the decoded text of each list of ids in a new column ``decoded``.
+    """``encoded`` with the decoded text of each row's ids in a new column ``decoded``.
 
-    Null lists decode to the empty text. An id that the vocabulary lacks raises ``KeyError``.
+    Null decodes to the empty text. An id that the vocabulary lacks raises ``KeyError``.
     """
     (name,) = columns_free_of(encoded, decoded)
     schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType(), False)])
+    return encoded.mapInArrow(lambda batches: _decoded(batches, path, ids, name), schema)
+
+
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", packed: bool = False
+) -> DataFrame:
+    """``encode_texts`` and then ``decode_ids``, both in one pass and one worker per task."""
+    ids_name, text_name = columns_free_of(docs, ids, decoded)
+    schema = T.StructType([*docs.schema, _ids_field(ids_name, packed), T.StructField(text_name, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = arc_labels(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                piece = batch.slice(at, ROWS_AT_ONCE)
-                texts = [decode(labels, x.tolist()) for x in id_lists(piece.column(piece.schema.get_field_index(ids)))]
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(texts, pa.string())], names=[*piece.schema.names, name]
-                )
-
-    return encoded.mapInArrow(run, schema)
+        return _decoded(_encoded(batches, path, text, ids_name, packed), path, ids_name, text_name)
+
+    return docs.mapInArrow(run, schema)

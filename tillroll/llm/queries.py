@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,27 +97,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids and decoded texts to counts and digests."""
-    for batch in batches:
-        ids, texts = batch.column("ids"), batch.column("decoded").cast(pa.binary())
-        lists = list(bpe.id_lists(ids))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array([len(x) for x in lists], pa.int64()),
-                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists]),
-                pa.array([hashlib.sha256(t.as_py()).hexdigest() for t in texts]),
-            ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(WORD_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = bpe.decode_ids(bpe.encode_texts(docs, path).select("doc_id", "ids"), path)
-    return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    found = bpe.round_trip(docs, public_tokenizers.path(WORD_BPE), packed=True)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
