@@ -9,6 +9,7 @@ the longest run of words ending there that some item holds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -196,6 +197,17 @@ def merged(*parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return spans
 
 
+_last_built: dict[str, Automaton] = {}
+
+
+def built_once(key: str, items: list[tuple[str | None, bytes]], window: int) -> Automaton:
+    """The automaton of a block, built once by each worker process and not by each task."""
+    if key not in _last_built:
+        _last_built.clear()
+        _last_built[key] = build(items, window)
+    return _last_built[key]
+
+
 def item_blocks(items: DataFrame, item_id: str, text: str, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """Items in lists of at most ``most`` words (or one item), read one partition at a time."""
     block, size = [], 0
@@ -244,10 +256,10 @@ def find_items(
     context = docs.sparkSession.sparkContext
 
     def scan(frame: DataFrame, block: list[tuple[str | None, bytes]], again: bool) -> DataFrame:
-        sent = context.broadcast(block)
+        sent, key = context.broadcast(block), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            auto = build(sent.value, window)
+            auto = built_once(key, sent.value, window)
             for batch in batches:
                 old = batch.slice(0) if again else None
                 counts, spans, found = [], [], []
