@@ -102,7 +102,9 @@ def test_run_gives_the_last_stage(spark, steps):
 
 
 def test_odd_rows_pass_every_stage(spark):
-    odd = [(1, None), (2, ""), (3, ""), (3, ""), (None, "a b"), (None, None), (4, "word " * 30_000), (5, "word " * 30_000)]
+    long = "word " * 30_000
+    odd = [(1, None), (2, ""), (3, ""), (3, ""), (None, "a b"), (None, None), (4, long), (5, long)]
+    odd = [(i and 1_000_000 + i, text) for i, text in odd]  # ids without a label
     docs = spark.createDataFrame(odd, "doc_id long, text string").select(
         "doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit("x").alias("source"), F.lit(0).cast("long").alias("n_chars"),
         F.lit("kept").alias("score"), F.lit("too").alias("digest"), F.lit(1).alias("fingerprint"), F.lit(2).alias("n_words"))
