@@ -1,8 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of test items.
 
 Items are a test set, not corpus data. They are cut into blocks of at most ``BLOCK_WORDS``
-words; one automaton is made for each block and sent to the tasks, so what is broadcast has
-a fixed bound, and more items mean more passes over the documents, not a larger automaton.
+words; the items of a block are broadcast and each worker builds their automaton once, so what
+is sent has a fixed bound, and more items mean more passes, not a larger automaton.
 A document is read once for each block, word by word, and the automaton gives at every word
 the longest run of words ending there that some item holds.
 """
