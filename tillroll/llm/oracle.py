@@ -105,3 +105,40 @@ SELECT raw.doc_id, count(*) AS n_lines, count(gone.line_no) AS n_deleted,
 FROM raw LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.line_no = raw.line_no
 GROUP BY raw.doc_id
 """
+
+ORACLE_SQL["op13_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals
+  FROM d),
+f AS (
+  SELECT doc_id, part, CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+    + 4 * CAST(100 * capitals > 3 * length(t) AS INT) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS mask
+  FROM w),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (
+  SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (
+  SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS k,
+    1 << (ascii(substr(filter_order, step, 1)) - 65) AS bit,
+    CAST(list_sum(list_transform(range(1, step), lambda j: 1 << (ascii(substr(filter_order, CAST(j AS INT), 1)) - 65))) AS INT) AS earlier
+  FROM o, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)),
+m AS (
+  SELECT c.*, s.*, mask & bit <> 0 AS fails, mask & coalesce(earlier, 0) <> 0 AS gone FROM c, s),
+r AS (
+  SELECT part, filter_order, step, k,
+    CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM m GROUP BY ALL)
+SELECT * EXCLUDE (k), CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r
+"""

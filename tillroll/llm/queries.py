@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, decontaminate, exact_dedup, line_dedup, sharding, simhash, token_counts, toxicity, warc
+from tillroll.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    line_dedup,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
 from tillroll.llm.common import table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -118,6 +132,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.write_ids(docs, public_tokenizers.path(WORD_BPE), end_id=2)
+    return token_files.read_documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(spark, filter_audit.filter_masks(docs), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -129,4 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_token_files": op12_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }
