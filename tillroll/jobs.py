@@ -26,6 +26,7 @@ from tillroll.plans.batch import (
     stage_events,
     update_master,
 )
+from tillroll.plans.panels import run_panel
 from tillroll.plans.record import LOADED, TAKEN, BatchRecord, RecordedFile
 from tillroll.schemas import ACTIVITY_TABLE, DASHBOARD_FROM, DASHBOARD_TO, MASTER_TABLE
 from tillroll.sources import drop_table, replace_table
@@ -101,6 +102,12 @@ def _top_products(spark: SparkSession, config: BatchConfig, options: argparse.Na
     _report(op.top_products(spark.table(config.activity_table)), options)
 
 
+def _panel(spark: SparkSession, config: BatchConfig, options: argparse.Namespace) -> None:
+    """A dashboard's own query, from a file anywhere that Spark reads."""
+    sql = spark.read.text(options.sql_file, wholetext=True).first()[0]
+    _report(run_panel(spark, sql, options.start, options.end, options.day_column), options)
+
+
 JOBS: dict[str, Job] = {
     "backup": _backup,
     "stage": _stage,
@@ -113,9 +120,10 @@ JOBS: dict[str, Job] = {
     "profile": _profile,
     "daily-sales": _daily_sales,
     "top-products": _top_products,
+    "panel": _panel,
 }
 NEED_BATCH = {"backup", "stage", "activity", "master", "drop", "archive", "batch"}
-NEED_OUTPUT = {"profile", "daily-sales", "top-products"}
+NEED_OUTPUT = {"profile", "daily-sales", "top-products", "panel"}
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -134,6 +142,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--slice-width", choices=op.SLICE_WIDTHS, help="number sessions in slices of time")
     parser.add_argument("--output", help="table, or path with a slash, that a report is stored in")
     parser.add_argument("--approximate", action="store_true", help="estimate distinct counts of the profile")
+    parser.add_argument("--sql-file", help="the query of a panel")
+    parser.add_argument("--day-column", help="date column that the panel's table is stored by")
     # The range of the sales dashboard, where none is asked for.
     parser.add_argument("--start", default=DASHBOARD_FROM)
     parser.add_argument("--end", default=DASHBOARD_TO, help="a date alone is a whole day")
@@ -142,6 +152,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         parser.error(f"{options.job} needs --batch-id")
     if options.job in NEED_OUTPUT and not options.output:
         parser.error(f"{options.job} needs --output")
+    if options.job == "panel" and not options.sql_file:
+        parser.error("panel needs --sql-file")
     config = BatchConfig(
         new_files=options.new_files,
         archive=options.archive,

@@ -220,6 +220,10 @@ UNION ALL SELECT product_id, category_id, category_code, brand FROM rebranded"""
     "top_products_panel": f"WITH {_TOTALS} SELECT "
     + ", ".join(f'{name} AS "{label}"' for name, label in TOP_PRODUCT_LABELS.items())
     + f" {_TOP}",
+    "daily_sales_sql": f"WITH {_MOVED} {_daily(_RANGE)}",
+    "top_products_sql": f"WITH {_TOTALS} SELECT "
+    + ", ".join(f'{name} AS "{label}"' for name, label in TOP_PRODUCT_LABELS.items())
+    + f" {_TOP}",
     "order_line_report": f"WITH {_ORDER_CLEAN} {_report('order_lines')}",
     "order_line_activity": _ORDER_ACTIVITY,
     "order_line_activity_sliced": _ORDER_ACTIVITY,

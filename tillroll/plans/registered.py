@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tillroll import operators as op
 from tillroll.functions import table_name_for_file
 from tillroll.plans import fixtures as fx
+from tillroll.plans import panels
 from tillroll.plans.fixtures import table
-from tillroll.schemas import CRITICAL_COLUMNS, MASTER_COLUMNS
+from tillroll.schemas import ACTIVITY_TABLE, CRITICAL_COLUMNS, MASTER_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,6 +169,16 @@ def order_line_sales_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(op.sales_share(order_line_activity(spark, sf_dir)), "sales_percentage")
 
 
+def daily_sales_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {ACTIVITY_TABLE: fx.moved(spark, sf_dir)}
+    return panels.run_panel(spark, panels.DAILY_SALES, FROM, TO, kind="timestamp_ntz", tables=tables)
+
+
+def top_products_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = panels.run_panel(spark, panels.TOP_PRODUCTS, tables={ACTIVITY_TABLE: fx.moved(spark, sf_dir)})
+    return _as_double(found, "Sales Percentage")
+
+
 def _as_double(df: DataFrame, name: str) -> DataFrame:
     """DECIMAL(10,2) as DOUBLE, the one numeric type both engines hand out alike."""
     return df.withColumn(name, F.col(name).cast("double"))
@@ -221,6 +232,8 @@ QUERIES: dict[str, Query] = {
         sales_per_movement,
         top_products,
         top_products_panel,
+        daily_sales_sql,
+        top_products_sql,
         order_line_report,
         order_line_activity,
         order_line_activity_sliced,
