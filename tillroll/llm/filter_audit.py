@@ -35,7 +35,7 @@ DUPLICATE = 1 << FILTERS.index("E")
 #: Memory of a lot's trie, and of a range's on the mean; a range is one task.
 LOT_BYTES, RANGE_BYTES = 48_000_000, 32_000_000
 #: Cuts for each range; beyond so many ranges they get larger instead.
-CUTS, MOST_RANGES = 8, 65_536
+CUTS, MOST_RANGES = 24, 65_536
 #: Bytes of a cut. Texts with a longer common beginning are in one range, which holds it once.
 CUT_BYTES = 16_384
 ROWS_AT_ONCE = 20_000
