@@ -74,18 +74,17 @@ def sample(n: int = 600) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("range_bytes", [filter_audit.RANGE_BYTES, 20_000])
-def test_masks_against_brute_force(spark, monkeypatch, range_bytes):
+@pytest.mark.parametrize(("range_bytes", "lot_bytes"), [(filter_audit.RANGE_BYTES, 400_000), (20_000, 400_000), (200_000, 1)])
+def test_masks_against_brute_force(spark, range_bytes, lot_bytes):
     rows = sample()
-    monkeypatch.setattr(filter_audit, "LOT_BYTES", 400_000)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     docs = docs.select("*", *[F.lit(1).alias(c) for c in ("mask", "copies", "part", "range", "prefix")])
-    assert found(filter_audit.filter_masks(docs, range_bytes=range_bytes)) == masks_of(rows)
+    assert found(filter_audit.filter_masks(docs, range_bytes=range_bytes, lot_bytes=lot_bytes)) == masks_of(rows)
 
 
 def test_ranges_are_cut_below_common_beginnings(spark):
     docs = spark.createDataFrame([(r[0], "", r[1].encode()) for r in sample()], "doc_id long, part string, text binary")
-    bounds = filter_audit._bounds(docs, 60_000)
+    bounds = filter_audit._bounds(docs, 60_000, filter_audit.LOT_BYTES)
     texts = sorted({bytes(r.text) for r in docs.collect()})
     assert bounds == sorted(set(bounds)) and len(bounds) > 10
     assert sum(b.startswith(b"common " * 1500) for b in bounds) > 10

@@ -8,7 +8,9 @@ the text alone. The fifth, "identical to the text of a smaller id", looks at all
    of a lot goes on, so a text with very many copies costs one row a lot.
 2. These texts are parted by ranges whose bounds are prefixes, just as long as needed to part
    neighbours in the tries. The bounds are cuts of equal weight through the tries of all lots.
-3. One task for each range puts its texts into one trie and tells which row has the least id.
+3. A task for each range puts its texts into a trie and tells which row has the least id. The
+   texts come in order, so a full trie is done but for its last text, and the next one begins:
+   a range may be of any size.
 
 What each order of the filters keeps and removes follows from the counts of the masks.
 """
@@ -32,7 +34,7 @@ from tillroll.llm.text_trie import TEXT_OVERHEAD, TextTrie
 
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
-#: Memory of a lot's trie, and of a range's on the mean; a range is one task.
+#: Memory of a trie, and bytes of a range on the mean; a range is one task.
 LOT_BYTES, RANGE_BYTES = 48_000_000, 32_000_000
 #: Cuts for each range; beyond so many ranges they get larger instead.
 CUTS, MOST_RANGES = 24, 65_536
@@ -74,23 +76,23 @@ class TextMask:
         return few | alike << 1 | loud << 2 | (self.symbol(text) is not None) << 3
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[TextTrie]:
+def _lots(batches: Iterator[pa.RecordBatch], lot_bytes: int) -> Iterator[TextTrie]:
     """Rows ``(doc_id, part)`` at the ends of their texts, in tries that fit in memory."""
     trie = TextTrie()
     for batch in batches:
         for doc_id, part, text in zip(*batch.columns, strict=True):
             number = doc_id.as_py()
             trie.insert(text.as_py(), number, (number, part.as_py()))
-            if trie.size > LOT_BYTES:
+            if trie.size > lot_bytes:
                 yield trie
                 trie = TextTrie()
     if trie.root.kids or trie.root.rows:
         yield trie
 
 
-def _cuts(batches: Iterator[pa.RecordBatch], grain: int) -> Iterator[pa.RecordBatch]:
+def _cuts(batches: Iterator[pa.RecordBatch], grain: int, lot_bytes: int) -> Iterator[pa.RecordBatch]:
     """Beginnings of texts, one for each ``grain`` bytes of different texts of a lot, in order."""
-    for trie in _lots(batches):
+    for trie in _lots(batches, lot_bytes):
         cuts, until = [], None
         for _, text, shared in trie.ends():
             if until is None:  # not the same place in each lot
@@ -103,7 +105,7 @@ def _cuts(batches: Iterator[pa.RecordBatch], grain: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(prefixes, pa.binary()), pa.array(weights, pa.int64())], names=["prefix", "weight"])
 
 
-def _bounds(docs: DataFrame, range_bytes: int) -> list[bytes]:
+def _bounds(docs: DataFrame, range_bytes: int, lot_bytes: int) -> list[bytes]:
     """The prefixes at which ranges of about equal weight begin, but for the first range.
 
     The driver gets ``CUTS`` prefixes for each range, of at most ``CUT_BYTES``.
@@ -111,7 +113,7 @@ def _bounds(docs: DataFrame, range_bytes: int) -> list[bytes]:
     total = docs.agg(F.sum(F.octet_length("text").cast("long") + TEXT_OVERHEAD)).first()[0] or 0
     range_bytes = max(range_bytes, total // MOST_RANGES)
     grain = max(1, range_bytes // CUTS)
-    found = docs.mapInArrow(lambda batches: _cuts(batches, grain), "prefix binary, weight long")
+    found = docs.mapInArrow(lambda batches: _cuts(batches, grain, lot_bytes), "prefix binary, weight long")
     summed = found.groupBy("prefix").agg(F.sum("weight").alias("weight"))
     bounds, filled = [], 0
     for prefix, weight in sorted((bytes(p), w) for p, w in summed.collect()):
@@ -127,13 +129,15 @@ def _frame(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _local(batches: Iterator[pa.RecordBatch], rules: Rules, bounds: list[bytes], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _local(
+    batches: Iterator[pa.RecordBatch], rules: Rules, bounds: list[bytes], schema: pa.Schema, lot_bytes: int
+) -> Iterator[pa.RecordBatch]:
     """``(range, doc_id, part, mask, copies, text)``: the text only of rows whose id is the lot's least for it.
 
     Rows without text are settled; they are spread over the ranges, through which they pass.
     """
     mask_of, ranges, spread = TextMask(rules), len(bounds) + 1, 0
-    for trie in _lots(batches):
+    for trie in _lots(batches, lot_bytes):
         rows, size = [], 0
         for node, text, _ in trie.ends():
             mask, place = mask_of(text), bisect.bisect_right(bounds, text)
@@ -147,22 +151,14 @@ def _local(batches: Iterator[pa.RecordBatch], rules: Rules, bounds: list[bytes],
                 else:
                     spread = (spread + 1) % ranges
                     rows.append((spread, number, part, mask | (0 if number is None else DUPLICATE), copies, None))
-            if size > LOT_BYTES // 16 or len(rows) >= ROWS_AT_ONCE:
+            if size > lot_bytes // 16 or len(rows) >= ROWS_AT_ONCE:
                 yield _frame(rows, schema)
                 rows, size = [], 0
         yield _frame(rows, schema)
 
 
-def _settled(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, part, mask, copies)`` of a range: one trie, then a walk over its ends."""
-    trie = TextTrie()
-    for batch in batches:
-        known = batch.column(5).is_null()
-        yield pa.RecordBatch.from_arrays([c.filter(known) for c in batch.columns[1:5]], schema=schema)
-        for doc_id, part, mask, copies, text in zip(*batch.columns[1:], strict=True):
-            if text.is_valid:
-                number = doc_id.as_py()
-                trie.insert(text.as_py(), number, (number, part.as_py(), mask.as_py(), copies.as_py()))
+def _flagged(trie: TextTrie, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows of a trie, with the bit of a duplicate for those that have not the least id."""
     rows = []
     for node, _, _ in trie.ends():
         rows += [(n, part, mask | (DUPLICATE if n > node.least else 0), copies) for n, part, mask, copies in node.rows]
@@ -172,6 +168,27 @@ def _settled(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[p
     yield _frame(rows, schema)
 
 
+def _settled(batches: Iterator[pa.RecordBatch], schema: pa.Schema, lot_bytes: int) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, part, mask, copies)`` of a range, whose rows come in order of text and id.
+
+    A text that goes on in the next trie takes its least id along, which came first.
+    """
+    trie, last, least = TextTrie(), None, None
+    for batch in batches:
+        known = batch.column(5).is_null()
+        yield pa.RecordBatch.from_arrays([c.filter(known) for c in batch.columns[1:5]], schema=schema)
+        for doc_id, part, mask, copies, text in zip(*batch.columns[1:], strict=True):
+            if text.is_valid:
+                number, data = doc_id.as_py(), text.as_py()
+                if trie.size > lot_bytes:
+                    yield from _flagged(trie, schema)
+                    trie = TextTrie()
+                if data != last:
+                    last, least = data, number
+                trie.insert(data, least, (number, part.as_py(), mask.as_py(), copies.as_py()))
+    yield from _flagged(trie, schema)
+
+
 def filter_masks(
     docs: DataFrame,
     rules: Rules = Rules(),
@@ -179,6 +196,7 @@ def filter_masks(
     doc_id: str = "doc_id",
     part: str = "lang",
     range_bytes: int = RANGE_BYTES,
+    lot_bytes: int = LOT_BYTES,
 ) -> DataFrame:
     """``(doc_id, part, mask, copies)``: which filters a document fails, bit 0 for A to bit 4 for E.
 
@@ -186,21 +204,22 @@ def filter_masks(
     smaller id has the same text; rows that repeat an id and its text don't make each other
     fail. A null id is smaller than none and has none that is smaller. Rows that are equal in
     id, text and part may come as one row or several with ``copies`` that add up. Other columns
-    are not read. An empty table gives no rows.
+    are not read. An empty table gives no rows. A task holds a trie of about ``lot_bytes``,
+    however many texts its range has.
     """
     column = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     part_column = F.coalesce(F.col(part).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), part_column.alias("part"), column.alias("text"))
-    bounds = _bounds(rows, range_bytes)
+    bounds = _bounds(rows, range_bytes, lot_bytes)
 
     kind = docs.schema[doc_id].dataType
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("part", T.StringType()),
                         T.StructField("mask", T.IntegerType()), T.StructField("copies", T.LongType())])
     between = T.StructType([T.StructField("range", T.IntegerType()), *out, T.StructField("text", T.BinaryType())])
     arrow_out, arrow_between = to_arrow_schema(out), to_arrow_schema(between)
-    local = rows.mapInArrow(lambda batches: _local(batches, rules, bounds, arrow_between), between)
-    parted = local.repartitionById(len(bounds) + 1, F.col("range"))
-    return parted.mapInArrow(lambda batches: _settled(batches, arrow_out), out)
+    local = rows.mapInArrow(lambda batches: _local(batches, rules, bounds, arrow_between, lot_bytes), between)
+    parted = local.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions("text", "doc_id")
+    return parted.mapInArrow(lambda batches: _settled(batches, arrow_out, lot_bytes), out)
 
 
 def order_steps() -> list[tuple[int, str, int, str, int, int, int, int]]:
