@@ -199,6 +199,31 @@ def test_sharding(spark, odd):
     assert sorted(r.slot for r in sharding.shuffled_shards(odd.limit(1)).collect()) == [0]
 
 
+def test_sharding_of_rows_that_repeat(spark):
+    copies = "if(id % 3 = 0, {}, {})"
+    docs = spark.range(30_000).selectExpr(
+        copies.format("7", "id") + " doc_id", copies.format("'the same text'", "concat('text ', id)") + " text",
+        "if(id % 30 = 0, 1, 0) extra", "named_struct('n', array(1)) key")
+    wanted = docs.groupBy(*docs.columns).count().collect()
+    written = sharding.shuffled_shards(docs, shards=4, bucket_bytes=100_000)
+    assert sorted(map(str, written.select("record.*").groupBy(*docs.columns).count().collect())) == sorted(map(str, wanted))
+    slots = written.groupBy("shard").agg(F.count("*"), F.count_distinct("slot"), F.min("slot"), F.max("slot")).collect()
+    assert sorted(tuple(r) for r in slots) == [(k, 7500, 7500, 0, 7499) for k in range(4)]
+    same = written.where("record.doc_id = 7 and record.text = 'the same text'").groupBy("shard").count().collect()
+    assert len(same) == 4 and all(2200 < r["count"] < 2800 for r in same)
+    again = sharding.shuffled_shards(docs.repartition(5), shards=4, bucket_bytes=100_000)
+    assert written.exceptAll(again).isEmpty() and again.exceptAll(written).isEmpty()
+
+    rows = docs.select(F.struct("*").alias("record"), sharding.scatter_key(F.col("text"), F.col("doc_id"), 0).alias("key"),
+                       F.lit(14).cast("long").alias("bytes"))
+    keyed = rows.withColumn("bucket", F.pmod("key", F.lit(20)).cast("int"))
+    repeated = sharding.repeated_keys(keyed, sharding._bucket_counts(keyed), 200_000)
+    assert repeated.count() == 1
+    sizes = sharding.spread(keyed, repeated, 20, 0).groupBy("bucket").count().collect()
+    assert len(sizes) == 20 and all(1200 < r["count"] < 1800 for r in sizes)
+    assert sharding.repeated_keys(keyed, sharding._bucket_counts(keyed), 2_000_000).isEmpty()
+
+
 def test_exact_dedup(spark, odd):
     rows = exact_dedup.dedup_report(odd).collect()
     assert len(rows) == len(ODD) and sum(r.kept for r in rows) == 4

@@ -7,6 +7,9 @@ records; it is cut into shards whose counts differ by one at most (law ``rows``)
 
 The text moves once, from the scan to its bucket. The size of every bucket is counted
 before, from hashes alone, so a bucket knows where it begins and writes whole shards.
+
+Rows that repeat id and text have one hash. Where they would fill a bucket, they are counted
+instead, and each copy gets a hash of its own on its way to the buckets.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ SEED = 20_240_229
 BUCKET_BYTES = 16_000_000
 #: Buckets summed up in one step, and whose beginnings may be broadcast (16 bytes each).
 BLOCK, BROADCAST_BUCKETS = 4096, 500_000
+#: What a row takes beside its text, about, where it is asked if repeats fill a bucket.
+ROW_BYTES = 100
 
 
 def size_of(text: Column) -> Column:
@@ -35,6 +40,49 @@ def scatter_key(text: Column, doc_id: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), doc_id, text)
 
 
+def _weight() -> Column:
+    return (F.sum("bytes") + ROW_BYTES * F.count(F.lit(1))).alias("weight")
+
+
+def repeated_keys(keyed: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
+    """Stored ``(key)`` of the rows that repeat id and text and weigh more than ``limit``.
+
+    Only buckets that are too heavy are looked into. There are fewer such keys than buckets.
+    """
+    full = counts.where(F.col("weight") > 2 * limit).select("bucket")
+    if full.isEmpty():
+        return full.select(F.lit(0).cast("long").alias("key")).limit(0)
+    keys = keyed.join(F.broadcast(full), "bucket", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"), _weight())
+    return stored(keys.where((F.col("n") > 1) & (F.col("weight") > limit)).select("key"), "repeated_keys")
+
+
+def spread(keyed: DataFrame, repeated: DataFrame, buckets: int, seed: int) -> DataFrame:
+    """``keyed`` with a new key and bucket for each row whose key is ``repeated``.
+
+    Rows that are equal in all columns are counted before they are shuffled, and made again
+    from their number, some thousands in a row, so no task gets all of them.
+    """
+    keys = F.broadcast(repeated) if buckets <= BROADCAST_BUCKETS else repeated
+    rest = keyed.join(keys, "key", "left_anti")
+    counted = keyed.join(keys, "key", "left_semi").groupBy("key", "bytes", "record").agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(counted, "repeats")
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))).alias("lot")
+    lots = counted.select("bytes", "record", "n", lots).repartition("record", "lot")
+    last = F.least(F.col("n"), (F.col("lot") + 1) * BLOCK) - 1
+    copies = lots.select("bytes", "record", F.explode(F.sequence(F.col("lot") * BLOCK, last)).alias("copy"))
+    copies = copies.withColumn("key", F.xxhash64(F.lit(seed), "record", "copy")).withColumn("bucket", _bucket(buckets))
+    return rest.unionByName(copies.drop("copy"))
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod("key", F.lit(buckets)).cast("int")
+
+
+def _bucket_counts(keyed: DataFrame) -> DataFrame:
+    counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), _weight())
+    return stored(counts.withColumn("block", F.floor(F.col("bucket") / BLOCK)), "bucket_counts")
+
+
 def shuffled_shards(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -50,8 +98,8 @@ def shuffled_shards(
     written as Parquet below ``shard=<n>`` in the shared folder. The order depends on the rows
     and the seed alone, not on how the input is split. Null ids and null texts are ordinary
     values. An empty table gives empty shards, and a shard may be empty if there are fewer
-    rows. Rows that repeat both id and text fall into one bucket; other skew of ids, sources
-    or texts doesn't matter.
+    rows. Rows that repeat both id and text fall into one bucket as long as they are a small
+    part of it, and are spread over all beyond; skew of ids, sources or texts doesn't matter.
     """
     spark = docs.sparkSession
     packed = docs.select(
@@ -61,11 +109,14 @@ def shuffled_shards(
     )
     total, rows = packed.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(shards, -(-total // bucket_bytes))
-    keyed = packed.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
+    keyed = packed.withColumn("bucket", _bucket(buckets))
+    counts = _bucket_counts(keyed)
+    repeated = repeated_keys(keyed, counts, max(bucket_bytes, (total + ROW_BYTES * rows) // buckets))
+    if not repeated.isEmpty():
+        keyed = spread(keyed, repeated, buckets, seed)
+        counts = _bucket_counts(keyed)
 
     # Where each bucket begins, in two steps, so that no task gets the counts of all buckets.
-    counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    counts = stored(counts.withColumn("block", F.floor(F.col("bucket") / BLOCK)), "bucket_counts")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     blocks = counts.groupBy("block").agg(F.sum("n").alias("n"))
     blocks = blocks.select("block", F.sum("n").over(before.orderBy("block")).alias("block_start"))
