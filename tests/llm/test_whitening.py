@@ -50,9 +50,12 @@ def odd():
     return rows, bad
 
 
-def test_odd_rows_in_many_blocks(spark, monkeypatch, odd):
+@pytest.mark.parametrize(("most_blocks", "rows_in_block"), [(1000, 4), (3, 15)])
+def test_odd_rows_in_many_blocks(spark, monkeypatch, odd, most_blocks, rows_in_block):
     monkeypatch.setattr(whitening, "BLOCK_NUMBERS", 20)
-    monkeypatch.setattr(whitening, "BLOCKS_PER_TASK", 3)
+    monkeypatch.setattr(whitening, "TASK_NUMBERS", 60)
+    monkeypatch.setattr(whitening, "MOST_BLOCKS", most_blocks)
+    assert whitening.rows_per_block(43, 5) == rows_in_block
     rows, bad = odd
     table = spark.createDataFrame(rows + bad, "n long, vec array<double>, x long").repartition(4)
     got = whitening.whiten(table, "vec", "n", components=3)

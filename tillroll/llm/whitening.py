@@ -25,8 +25,10 @@ from tillroll.llm.common import columns_free_of, stored
 SCALE, SHIFT = 1024, 100_000
 #: Components that are returned, at most.
 COMPONENTS = 8
-#: Numbers in a block (8 bytes each), and pairs of blocks that one task multiplies, on the mean.
-BLOCK_NUMBERS, BLOCKS_PER_TASK = 131_072, 16
+#: Numbers in a block (8 bytes each), and in the blocks that one task multiplies, on the mean.
+BLOCK_NUMBERS, TASK_NUMBERS = 131_072, 2_097_152
+#: Beyond so many blocks they get larger instead, as MLlib keeps the ids of all on the driver.
+MOST_BLOCKS = 250_000
 #: An eigenvalue below so much of the variance of all dimensions counts as zero.
 LEAST_VARIANCE = 1e-12
 #: The largest size of a scaled entry: differences of two still have 64 bits.
@@ -94,17 +96,22 @@ def _centred(n: int, sums: list[int]) -> Column:
     return F.transform("x", lambda c, i: (c - F.get(whole, i)).cast("double") - F.get(fraction, i))
 
 
+def rows_per_block(n: int, dims: int) -> int:
+    return max(1, BLOCK_NUMBERS // dims, -(-n // MOST_BLOCKS))
+
+
 def block_matrix(rows: DataFrame, vector: str, n: int, dims: int) -> BlockMatrix:
-    """Blocks of whole rows, at the places that ``index`` gives."""
+    """Blocks of whole rows, at the places that ``index`` gives; at most ``MOST_BLOCKS``."""
     indexed = rows.select("index", array_to_vector(F.col(vector)).alias("vector"))
     indexed = MLUtils.convertVectorColumnsFromML(indexed, "vector")
-    return IndexedRowMatrix(indexed, n, dims).toBlockMatrix(max(1, BLOCK_NUMBERS // dims), dims)
+    return IndexedRowMatrix(indexed, n, dims).toBlockMatrix(rows_per_block(n, dims), dims)
 
 
 def transpose_times(blocks: BlockMatrix) -> np.ndarray:
     """The transpose times the matrix itself. The rows' blocks are dealt to tasks, and their
     products are summed up; without that split all blocks would go to one task."""
-    splits = max(1, -(-blocks.numRowBlocks // BLOCKS_PER_TASK))
+    per_task = max(1, TASK_NUMBERS // (blocks.rowsPerBlock * blocks.colsPerBlock))
+    splits = -(-blocks.numRowBlocks // per_task)
     java = blocks._java_matrix_wrapper._java_model
     product = blocks.transpose()._java_matrix_wrapper.call("multiply", java, splits)
     return BlockMatrix(product, blocks.colsPerBlock, blocks.colsPerBlock).toLocalMatrix().toArray()
