@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_edges import ODD
-from tillroll.llm import queries, token_files
+from tillroll.llm import queries, token_files, word_texts
 
 SMALL = "/root/testdata/sf0.001"
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -55,7 +55,7 @@ def test_encoder_equals_the_library(text):
 
 
 def test_encoder_starts_its_tables_anew(monkeypatch, library):
-    monkeypatch.setattr(token_files, "KEPT_STRINGS", 3)
+    monkeypatch.setattr(word_texts, "KEPT_STRINGS", 3)
     texts = ["one two three four, fünf one two! " * 5, None, "one İstanbul ΣΑΣ \x01 e\u0301", "", "two ẞ one's ½ 12",
              "a<|endoftext|>b \x1cc\x85d\xa0e"] * 3
     ids, starts = token_files.LibraryEncoder(WORD).encode(pa.array(texts))

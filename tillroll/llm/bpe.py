@@ -22,24 +22,18 @@ from __future__ import annotations
 
 import functools
 import json
-import re
-import sys
-import unicodedata
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tillroll.llm.common import columns_free_of
+from tillroll.llm.word_texts import TextEncoder
 
-#: Chunks and words whose tokens a worker keeps, each; beyond it that table starts anew.
-KEPT_STRINGS = 150_000
-#: Arcs that were met and are kept, beyond which that table starts anew too.
+#: Arcs that were met and are kept; beyond it that table starts anew.
 KEPT_ARCS = 400_000
 #: Bytes of text that are encoded before a batch of rows is given on.
 BATCH_BYTES = 2_000_000
@@ -47,17 +41,6 @@ BATCH_BYTES = 2_000_000
 ROWS_AT_ONCE = 128
 
 
-def byte_symbols() -> list[str]:
-    """The letter that stands for each byte: printable ones for themselves, others from 256 on."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    letters, spare = {b: chr(b) for b in plain}, 256
-    for b in range(256):
-        if b not in letters:
-            letters[b] = chr(spare)
-            spare += 1
-    return [letters[b] for b in range(256)]
-
-
 class Automaton:
     """The merge gadgets, put in one after the other, and a trie of arc labels."""
 
@@ -156,86 +139,29 @@ class Automaton:
         raise ValueError(f"no path for {symbols}")
 
 
-def pack(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
-
-
-class Kept(dict):
-    """Results by argument; a missing one is made."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        made = self[key] = self.make(key)
-        return made
-
-
 class WordBpe:
-    """A tokenizer read from a file of the ``tokenizers`` library: BPE with word ends.
-
-    Text is split at the special tokens, normalised (NFC, white space to one space, lower
-    case by character) and split into words by the pattern in the file.
-    """
+    """A tokenizer read from a file of the ``tokenizers`` library: BPE with word ends."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model, normalizer, splitter = spec["model"], spec["normalizer"], spec["pre_tokenizer"]
-        kinds = [n["type"] for n in normalizer["normalizers"]]
-        parts = [p["type"] for p in splitter["pretokenizers"]]
-        if kinds != ["NFC", "Replace", "Lowercase"] or parts != ["Split", "ByteLevel"]:
-            raise ValueError(f"not a tokenizer of this kind: {kinds}, {parts}")
+        model = spec["model"]
         if model["end_of_word_suffix"] != "</w>" or spec["decoder"] is not None:
             raise ValueError("word ends marked </w> and no decoder are expected")
-        self.vocabulary: dict[str, int] = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.automaton = Automaton(self.vocabulary, [tuple(m) for m in model["merges"]])
-        self.words = regex.compile(splitter["pretokenizers"][0]["pattern"]["Regex"], regex.V0).findall
-        self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.letters = byte_symbols()
-        self.by_word = Kept(self._word)
-        self.by_chunk = Kept(self._chunk)
-
-    #: str.split() also splits at these four, which the file's \s does not hold.
-    odd_space = re.compile("[\x1c-\x1f]")
-    space = regex.compile(r"\p{White_Space}+")
-
-    def _word(self, word: str) -> bytes:
-        letters = self.letters
-        symbols = [letters[b] for b in word.encode()]
-        symbols[-1] += "</w>"
-        return pack(self.automaton.encode(symbols))
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of text without white space."""
-        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
-        # str.lower() looks at the letters around a capital sigma, the tokenizer does not.
-        text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-        return b"".join(map(self.by_word.__getitem__, self.words(text)))
-
-    def _plain(self, text: str) -> bytes:
-        chunks = self.space.split(text) if self.odd_space.search(text) else text.split()
-        packed = b"".join(map(self.by_chunk.__getitem__, chunks))
-        for kept in (self.by_chunk, self.by_word):
-            if len(kept) > KEPT_STRINGS:
-                kept.clear()
-        return packed
+        self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]])
+        self.texts = TextEncoder(spec, self._word)
+
+    def _word(self, word: str) -> list[int]:
+        return self.automaton.encode([*word[:-1], word[-1] + "</w>"])
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids begin and the
+        last one's end; strings of special tokens become these tokens."""
+        return self.texts.encode(texts)
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text; strings of special tokens become these tokens."""
-        text = text or ""
-        if not any(s in text for s in self.special):
-            return np.frombuffer(self._plain(text), "<u4")
-        parts = self.specials.split(text)
-        special = self.special
-        packed = [pack([special[p]]) if k % 2 else self._plain(p) for k, p in enumerate(parts)]
-        return np.frombuffer(b"".join(packed), "<u4")
+        """Ids of a whole text."""
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -278,12 +204,13 @@ def _encoded(
 ) -> Iterator[pa.RecordBatch]:
     bpe = tokenizer(path)
     for batch in in_pieces(batches, text):
-        found = [bpe.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        column = batch.column(batch.schema.get_field_index(text))
+        found, starts = bpe.encode_all(column if column.type == pa.string() else column.cast(pa.string()))
         if packed:
-            column = pa.array([f.tobytes() for f in found], pa.binary())
+            offsets = pa.array(4 * starts, pa.int32()).buffers()[1]
+            column = pa.Array.from_buffers(pa.binary(), len(batch), [None, offsets, pa.py_buffer(found)])
         else:
-            ends = np.cumsum([0, *map(len, found)])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view("<i4")))
+            column = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(found.view("<i4")))
         yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
 

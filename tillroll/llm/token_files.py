@@ -14,11 +14,9 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
-import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +31,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from tillroll.llm.bpe import byte_symbols
 from tillroll.llm.common import shared_folder, stored
+from tillroll.llm.word_texts import TextEncoder, packed
 
 #: Ids in a block; only the last block of a file has fewer.
 BLOCK_IDS = 65_536
@@ -42,152 +40,28 @@ BLOCK_IDS = 65_536
 FILE_BYTES = 64_000_000
 #: Files whose beginnings are summed up in one step, and may be broadcast (12 bytes each).
 STEP, BROADCAST_FILES = 4096, 500_000
-#: Different chunks and words of text that a worker keeps in each of two generations.
-KEPT_STRINGS = 120_000
 #: Bytes of text that are encoded together, or one text if it is longer.
 BYTES_AT_ONCE = 2_000_000
-#: White space beyond ASCII; the tokenizer's words in lower-case ASCII, and in it
-#: and Latin letters from sharp s on.
-ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
-ASCII_WORDS = "('s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+)"
-LATIN = re.compile("[!-~ß-öø-ɏ]+").fullmatch
-LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+").findall
 #: Bytes of ids in a batch of documents that are read.
 BATCH_BYTES = 4_000_000
 LEVEL = 3
 
 
-def packed(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    made = array("I", ids)
-    if sys.byteorder == "big":
-        made.byteswap()
-    return made.tobytes()
-
-
-class Kept:
-    """What was made lately, by key: two generations, of which the older one goes when the
-    younger is full. Keys that come again move to the younger."""
-
-    def __init__(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, keys: list[str]) -> set[str]:
-        """Those that have to be made; after this all others are in ``young``."""
-        if len(self.young) >= KEPT_STRINGS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        lacking = {k for k in keys if k not in young}
-        again = {k: old[k] for k in lacking if k in old}
-        young.update(again)
-        return lacking.difference(again)
-
-
-class LibraryEncoder:
-    """Ids as the ``tokenizers`` library gives them, from each different chunk of some texts.
-
-    The tokenizer drops white space, and neither its normalisation nor its words reach over it,
-    so a text's ids are those of its chunks one after the other. Chunks beyond printable ASCII
-    go through the library's normaliser, many at once. ASCII and Latin chunks are cut into words
-    by the tokenizer's own pattern, others by the library's splitter, and the library's model
-    sees each different word once, as long as it is kept. Texts with a special token are encoded
-    by the library in one piece.
-    """
+class LibraryEncoder(TextEncoder):
+    """Ids as the ``tokenizers`` library gives them: its model sees each different word, and
+    it encodes texts with a special token in one piece."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.letters = str.maketrans(dict(enumerate(byte_symbols())))
-        self.by_chunk, self.by_word = Kept(), Kept()
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Packed ids of words in the model's letters."""
-        known, tokenize = self.by_word, self.library.model.tokenize
-        for word in known.missing(words):
-            known.young[word] = packed([t.id for t in tokenize(word)])
-        return list(map(known.young.__getitem__, words))
-
-    def _ascii(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of printable ASCII chunks, and where each chunk's begin and the last one's end."""
-        chunks = pc.ascii_lower(chunks)
-        one_word = pc.ascii_is_alpha(chunks)
-        rest = pc.replace_substring_regex(chunks.filter(pc.invert(one_word)), ASCII_WORDS, "\\1 ")
-        parted = pc.split_pattern(pc.replace_with_mask(chunks, pc.invert(one_word), rest), " ")
-        words = parted.values.dictionary_encode()
-        values, firsts, lengths = in_a_row(self._words(strings(words.dictionary)))
-        return gathered(values, firsts, lengths, words.indices.to_numpy(), parted.offsets.to_numpy())
-
-    def _others(self, chunks: list[str]) -> list[bytes]:
-        """Packed ids of any chunks."""
-        known = self.by_chunk
-        new = known.missing(chunks)
-        for chunk in filter(ODD_SPACE, new):  # white space beyond ASCII is still inside
-            known.young[chunk] = packed(self.library.encode(chunk, add_special_tokens=False).ids)
-        if new := [c for c in new if c not in known.young]:
-            normal = self.library.normalizer.normalize_str(" ".join(new)).split(" ")
-            if len(normal) != len(new):
-                raise ValueError("the normaliser has changed the white space")
-            words = list(map(self._in_words, normal))
-            ids = iter(self._words([w for of_chunk in words for w in of_chunk]))
-            for chunk, of_chunk in zip(new, words, strict=True):
-                known.young[chunk] = b"".join(itertools.islice(ids, len(of_chunk)))
-        return list(map(known.young.__getitem__, chunks))
-
-    def _in_words(self, chunk: str) -> list[str]:
-        """The words of a normalised chunk, in the model's letters, of which each is a byte."""
-        if LATIN(chunk):
-            letters = self.letters
-            return [w.encode().decode("latin-1").translate(letters) for w in LATIN_WORDS(chunk)]
-        return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and where each text's ids begin and the last one's end.
-
-        Null and empty texts have none.
-        """
-        special = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in self.special])
-        chunks = pc.ascii_split_whitespace(pc.if_else(pc.fill_null(special, True), "", texts))
-        found = chunks.values.dictionary_encode()
-        plain = pc.and_(pc.string_is_ascii(found.dictionary), pc.ascii_is_printable(found.dictionary))
-        values, starts = self._ascii(found.dictionary.filter(plain))
-        more, firsts, lengths = in_a_row(self._others(strings(found.dictionary.filter(pc.invert(plain)))))
-        is_plain = plain.to_numpy(zero_copy_only=False)
-        all_firsts, all_lengths = np.empty(len(is_plain), np.int64), np.empty(len(is_plain), np.int64)
-        all_firsts[is_plain], all_lengths[is_plain] = starts[:-1], np.diff(starts)
-        all_firsts[~is_plain], all_lengths[~is_plain] = firsts + len(values), lengths
-        values = np.concatenate([values, more])
-        ids, starts = gathered(values, all_firsts, all_lengths, found.indices.to_numpy(), chunks.offsets.to_numpy())
-        if pc.any(special).as_py():
-            by_text = [ids[a:b] for a, b in itertools.pairwise(starts)]
-            for k in np.flatnonzero(pc.fill_null(special, False).to_numpy(zero_copy_only=False)):
-                whole = self.library.encode(texts[int(k)].as_py(), add_special_tokens=False)
-                by_text[k] = np.array(whole.ids, "<u4")
-            ids, starts = np.concatenate(by_text), np.cumsum([0, *map(len, by_text)])
-        return ids, starts
-
-
-def strings(column: pa.Array) -> list[str]:
-    return column.to_numpy(zero_copy_only=False).tolist()
-
-
-def in_a_row(made: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids of some packed lists, and where each list's begin and how many they are."""
-    lengths = np.fromiter(map(len, made), np.int64, len(made)) // 4
-    return np.frombuffer(b"".join(made), "<u4"), np.cumsum(lengths) - lengths, lengths
-
-
-def gathered(
-    values: np.ndarray, firsts: np.ndarray, lengths: np.ndarray, which: np.ndarray, bounds: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of the lists ``which``, and where in them those from each of the ``bounds`` on begin."""
-    each = lengths[which]
-    ends = np.concatenate([[0], np.cumsum(each)])
-    places = np.arange(ends[-1]) + np.repeat(firsts[which] - ends[:-1], each)
-    return values[places], ends[bounds]
+        tokenize = self.library.model.tokenize
+        with open(path, encoding="utf-8") as file:
+            super().__init__(json.load(file), lambda word: [t.id for t in tokenize(word)])
+
+    def with_special(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @functools.lru_cache(maxsize=2)
